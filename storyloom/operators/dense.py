@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storyloom.functions.arrow import instants, matrix
 from storyloom.functions.dates import MICROS_PER_DAY, micros
 
 TILE_BYTES = 32 << 20  # vectors one tile may hold of either side
@@ -97,9 +98,10 @@ def _key(sim: Column) -> Column:
     return F.floor(sim * 1e12 + 0.5)
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks])
-    return flat.reshape(len(column), -1)
+def decay(at: np.ndarray, entry_at: np.ndarray, undated: np.ndarray, window_size: int) -> np.ndarray:
+    """Weight of state entries for an article instant, by whole days rounded down."""
+    days = np.floor_divide(at - entry_at, MICROS_PER_DAY)
+    return np.where(undated, 1.0, np.exp(-np.abs(days) / window_size))
 
 
 def _tile_function(temperature: float, window_size: int | None, euclidean: bool):
@@ -118,25 +120,22 @@ def _tile_function(temperature: float, window_size: int | None, euclidean: bool)
             return pa.table([pa.array([], t) for t in types], names)
         owner = entries["cluster_id"].to_numpy()
         order = np.argsort(owner, kind="stable")
-        owner, sums = owner[order], _matrix(entries["vector"])[order]
+        owner, sums = owner[order], matrix(entries["vector"])[order]
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         clusters = owner[starts]
-        vectors = _matrix(articles["vector"])
+        vectors = matrix(articles["vector"])
 
         if window_size is None:
             centers = np.add.reduceat(sums, starts)
             groups = [(np.arange(s, min(s + ROWS_AT_ONCE, len(vectors))), centers)
                       for s in range(0, len(vectors), ROWS_AT_ONCE)]
         else:
-            entry_at = np.array(entries["at"].to_pylist(), dtype=object)[order]
-            undated = np.array([a is None for a in entry_at])
-            entry_at = np.where(undated, 0, entry_at).astype(np.int64)
+            entry_at, undated = (a[order] for a in instants(entries["at"]))
             article_at = articles["at"].to_numpy()
 
             def per_date():
                 for day in np.unique(article_at):
-                    days = np.floor_divide(day - entry_at, MICROS_PER_DAY)
-                    weight = np.where(undated, 1.0, np.exp(-np.abs(days) / window_size))
+                    weight = decay(day, entry_at, undated, window_size)
                     centers = np.add.reduceat(weight[:, None] * sums, starts)
                     rows = np.flatnonzero(article_at == day)
                     for s in range(0, len(rows), ROWS_AT_ONCE):

@@ -19,6 +19,8 @@ JOB_SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Small enough build sides (known at run time) are hashed instead of sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Sides up to this size, measured at run time, are broadcast instead of shuffling pair vectors.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     # Vector sums aggregate in object hash maps; the default of 128 groups
     # would send nearly every task to the sort-based path.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
