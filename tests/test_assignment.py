@@ -163,7 +163,7 @@ def test_slabs_of_a_large_cluster_add_up(spark):
     _, c, e, a, _, _ = tables(spark, *data)
     pairs = a.select("date").join(c.select("cluster_id"))
     one = {(r.date, r.cluster_id): r.center for r in time_weighted_centers(pairs, e, c, TO, W).collect()}
-    cut = {(r.date, r.cluster_id): r.center for r in time_weighted_centers(pairs, e, c, TO, W, slab_entries=1).collect()}
+    cut = {(r.date, r.cluster_id): r.center for r in time_weighted_centers(pairs, e, c, TO, W, group_rows=1).collect()}
     assert one.keys() == cut.keys() and len(one) == K * len({d for d, _ in one})
     for (date, cluster), center in one.items():
         assert np.allclose(center, cut[date, cluster])
