@@ -89,22 +89,28 @@ def slide_document_frequency(article_tf: DataFrame) -> DataFrame:
 def window_document_frequency(slide_df: DataFrame, live_slides: int, time_aware: bool = True) -> DataFrame:
     """Document frequency over the live slides, older slides decayed.
 
-    ``slide_rows`` is the plain frequency in the slide itself: terms absent from a
-    slide are not needed for it and are left out.
+    Whole counts are summed per age and weighted afterwards, so the order of the sum
+    cannot change the result. ``slide_rows`` is the plain frequency in the slide
+    itself: terms absent from a slide are not needed for it and are left out.
     """
+    ages = range(live_slides)
     spread = slide_df.select(
-        F.explode(F.sequence(F.lit(0), F.lit(live_slides - 1))).alias("age"), "slide_id", "term", "df"
+        F.explode(F.array(*[F.lit(a) for a in ages])).alias("age"), "slide_id", "term", "df"
     ).withColumn("slide_id", F.col("slide_id") + F.col("age"))
+    counts = [F.sum(F.when(F.col("age") == a, F.col("df")).otherwise(0)).alias(f"df_{a}") for a in ages]
     held = F.least(F.col("slide_id") + 1, F.lit(live_slides))
-    weight = F.exp(-F.col("age") / held) if time_aware else F.lit(1.0)
+
+    def weighted(a: int) -> Column:
+        return (F.exp(F.lit(-a) / held) if time_aware else F.lit(1.0)) * F.col(f"df_{a}")
+
+    total = weighted(0)
+    for a in ages[1:]:
+        total = total + weighted(a)
     return (
-        spread.withColumn("part", weight * F.col("df"))
-        .groupBy("slide_id", "term")
-        .agg(
-            F.sum("part").alias("df"),
-            F.sum(F.when(F.col("age") == 0, F.col("df")).otherwise(0)).alias("slide_rows"),
-        )
-        .filter(F.col("slide_rows") > 0)
+        spread.groupBy("slide_id", "term")
+        .agg(*counts)
+        .filter(F.col("df_0") > 0)
+        .select("slide_id", "term", total.alias("df"), F.col("df_0").alias("slide_rows"))
     )
 
 
@@ -141,6 +147,9 @@ def score_terms(
 ) -> DataFrame:
     """D1 to D5 in one go; the IDF table is written once, since frequent terms are looked up in it first."""
     stats = window_stats(slide_stats(articles, article_tf), live_slides)
-    df = window_document_frequency(slide_document_frequency(article_tf), live_slides, time_aware)
+    # with few live slides one grouping of the article rows is cheaper than two
+    few = live_slides <= 3
+    rows = article_tf.select("slide_id", "term", F.lit(1).alias("df")) if few else slide_document_frequency(article_tf)
+    df = window_document_frequency(rows, live_slides, time_aware)
     idf = stage(inverse_document_frequency(df, stats))
     return keyword_scores(article_tf, idf, method, hot_rows)

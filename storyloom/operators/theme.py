@@ -9,6 +9,7 @@ from storyloom.functions import scoring
 from storyloom.functions.dates import state_age, timestamp_ntz
 from storyloom.functions.skew import HOT_ROWS, join_frequent
 from storyloom.operators.terms import top_terms
+from storyloom.sources.tables import stage
 
 
 def decayed_cluster_terms(tf_state: DataFrame, live: DataFrame, to_date, window_size: int) -> DataFrame:
@@ -35,9 +36,12 @@ def plain_cluster_terms(members: DataFrame, article_tf: DataFrame) -> DataFrame:
 
 
 def cluster_theme(cluster_tf: DataFrame, n: int, method: str = "tfidf", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Best n terms per cluster with score and share among them."""
+    """Best n terms per cluster with score and share among them.
+
+    ``cluster_tf`` is read several times and should be a written table.
+    """
     clusters, total = cluster_tf.agg(F.count_distinct("cluster_id"), F.sum("tf")).first()
-    frequency = cluster_tf.groupBy("term").agg(F.count("*").alias("df"))
+    frequency = stage(cluster_tf.groupBy("term").agg(F.count("*").alias("df")))
     idf = frequency.withColumn("idf", scoring.smoothed_idf(F.lit(clusters), F.col("df")))
     rows = cluster_tf
     if method == "bm25":

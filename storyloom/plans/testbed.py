@@ -87,7 +87,7 @@ def slided_terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """Sentence and article counts with the slide of the article."""
     rows = terms.with_slides(sentences(spark, sf_dir), FIRST_DAY, PARAMS.slide_size)
     sentence_tf = stage_by_article(terms.sentence_terms(rows, keep=("slide_id",)))
-    return sentence_tf, terms.article_terms(sentence_tf)
+    return sentence_tf, stage_by_article(terms.article_terms(sentence_tf))
 
 
 def keyword_scores(
@@ -141,7 +141,7 @@ def given_state(embedded: DataFrame, article_tf: DataFrame) -> tuple[DataFrame,
 
 
 def given_theme(tf_state: DataFrame, centers: DataFrame, method: str = "tfidf") -> DataFrame:
-    cluster_tf = decayed_cluster_terms(tf_state, centers, TO_DATE, SCORING_WINDOW)
+    cluster_tf = stage(decayed_cluster_terms(tf_state, centers, TO_DATE, SCORING_WINDOW))
     return cluster_theme(cluster_tf, PARAMS.n_keywords, method)
 
 
