@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,4 +41,16 @@ def pieces(batches: Iterator, rows: int) -> Iterator:
             yield batch.slice(at, rows)
 
 
-__all__ = ["SPACE", "WORD", "documents", "pieces", "remainder", "stage", "table", "words_of"]
+def per_worker(make: Callable, *args):
+    """``make(*args)`` once per worker process, kept over its tasks.
+
+    Task functions travel by value, so a module-level cache would start empty in every task.
+    """
+    kept = vars(sys).setdefault("_storyloom_kept", {})
+    key = (make.__module__, make.__qualname__, *args)
+    if key not in kept:
+        kept[key] = make(*args)
+    return kept[key]
+
+
+__all__ = ["SPACE", "WORD", "documents", "per_worker", "pieces", "remainder", "stage", "table", "words_of"]

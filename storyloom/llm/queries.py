@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from storyloom.llm.bpe import encode, with_ids_digest
+from storyloom.llm.chat import digests, format_chats
 from storyloom.llm.common import documents, table
 from storyloom.llm.mixing import fair_mix
 from storyloom.llm.quality import quality
@@ -13,6 +16,16 @@ from storyloom.llm.quality import quality
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Two rows that every run formats besides the table: a user and an assistant saying control strings.
+CONTROL_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def masked_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = documents(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_CHAT, "conv_id long, turn long, role string, text string")
+    return digests(format_chats(chats.unionByName(more)))
+
+
 def fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
     return fair_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -24,7 +37,14 @@ def distribution_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = with_ids_digest(encode(documents(table(spark, sf_dir, "documents"))))
+    return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_masked_chats": masked_chats,
     "op4_fair_mixing": fair_mixing,
     "op6_distribution_quality": distribution_quality,
+    "op10_prefix_bpe": prefix_bpe,
 }
