@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storyloom.llm.ann import search
 from storyloom.llm.bpe import encode, with_ids_digest
 from storyloom.llm.chat import digests, format_chats
 from storyloom.llm.common import documents, table
@@ -31,6 +32,11 @@ def fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def multiprobe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return search(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 def distribution_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(table(spark, sf_dir, "documents"))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -45,6 +51,7 @@ def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_masked_chats": masked_chats,
     "op4_fair_mixing": fair_mixing,
+    "op5_multiprobe_search": multiprobe_search,
     "op6_distribution_quality": distribution_quality,
     "op10_prefix_bpe": prefix_bpe,
 }
