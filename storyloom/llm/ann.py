@@ -16,8 +16,8 @@ from storyloom.llm.common import per_worker, stage
 
 TABLES = 8  # hash tables
 HASHES = 8  # p-stable functions per table
-WIDTH = 1.5  # of a hash function's cells, for vectors of length one
-PROBES = 512  # cells per table that a query visits, likeliest first
+WIDTH = 2.0  # of a hash function's cells, for vectors of length one
+PROBES = 192  # cells per table that a query visits, likeliest first
 GROUP_ROWS = 20_000  # index entries that one group holds at most, about
 SEED = 20
 

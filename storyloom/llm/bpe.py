@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from storyloom.llm.common import per_worker, pieces
 
 VOCABULARY = "word_bpe_49k.json"
-REMEMBERED = 400_000  # words, and token pairs, whose results a worker keeps
+REMEMBERED = 250_000  # words, and token pairs, whose results a worker keeps
 END = "￿"  # stands for the end-of-word suffix inside the automaton
 
 

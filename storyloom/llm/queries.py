@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from storyloom.llm.ann import search
 from storyloom.llm.bpe import encode, with_ids_digest
 from storyloom.llm.chat import digests, format_chats
-from storyloom.llm.common import documents, table
+from storyloom.llm.common import documents, remainder, table
+from storyloom.llm.langid import fit as fit_languages
+from storyloom.llm.langid import predict as predict_language
+from storyloom.llm.lattice import VOCABULARY as PIECES
+from storyloom.llm.lm import score_texts
 from storyloom.llm.mixing import fair_mix
 from storyloom.llm.quality import quality
 
@@ -43,6 +47,20 @@ def distribution_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(table(spark, sf_dir, "documents")).withColumn("train", remainder("doc_id", 5) != 1)
+    return score_texts(docs, "train").withColumn("held_out", ~F.col("train")).drop("train")
+
+
+def marginal_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path(PIECES)
+    docs = documents(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    model = fit_languages(docs.filter(remainder("doc_id", 4) != 2), path)
+    return predict_language(docs, model, path).withColumn("held_out", remainder("doc_id", 4) == 2)
+
+
 def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = with_ids_digest(encode(documents(table(spark, sf_dir, "documents"))))
     return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
@@ -53,5 +71,7 @@ QUERIES: dict[str, Query] = {
     "op4_fair_mixing": fair_mixing,
     "op5_multiprobe_search": multiprobe_search,
     "op6_distribution_quality": distribution_quality,
+    "op8_lattice_likelihood": lattice_likelihood,
+    "op9_marginal_language_id": marginal_language_id,
     "op10_prefix_bpe": prefix_bpe,
 }
