@@ -17,6 +17,8 @@ from storyloom.llm.lattice import VOCABULARY as PIECES
 from storyloom.llm.lm import score_texts
 from storyloom.llm.mixing import fair_mix
 from storyloom.llm.quality import quality
+from storyloom.llm.toxicity import learn as learn_toxicity
+from storyloom.llm.toxicity import score as score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +33,12 @@ def masked_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(chats.unionByName(more)))
 
 
+def factored_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels")
+    machine = learn_toxicity(docs, labels.filter(remainder("doc_id", 5) != 0))
+    return score_toxicity(docs, machine).withColumn("held_out", remainder("doc_id", 5) == 0)
+
+
 def fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
     return fair_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -68,6 +76,7 @@ def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_masked_chats": masked_chats,
+    "op3_factored_toxicity": factored_toxicity,
     "op4_fair_mixing": fair_mixing,
     "op5_multiprobe_search": multiprobe_search,
     "op6_distribution_quality": distribution_quality,
