@@ -11,11 +11,14 @@ from storyloom.llm.ann import search
 from storyloom.llm.bpe import encode, with_ids_digest
 from storyloom.llm.chat import digests, format_chats
 from storyloom.llm.common import documents, remainder, table
+from storyloom.llm.dedup import near_copies
 from storyloom.llm.langid import fit as fit_languages
 from storyloom.llm.langid import predict as predict_language
 from storyloom.llm.lattice import VOCABULARY as PIECES
 from storyloom.llm.lm import score_texts
 from storyloom.llm.mixing import fair_mix
+from storyloom.llm.pii import find as find_personal
+from storyloom.llm.pii import fit as fit_personal
 from storyloom.llm.quality import quality
 from storyloom.llm.toxicity import learn as learn_toxicity
 from storyloom.llm.toxicity import score as score_toxicity
@@ -33,6 +36,10 @@ def masked_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(chats.unionByName(more)))
 
 
+def hyperminhash_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(documents(table(spark, sf_dir, "documents")))
+
+
 def factored_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels")
     machine = learn_toxicity(docs, labels.filter(remainder("doc_id", 5) != 0))
@@ -55,6 +62,11 @@ def distribution_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(table(spark, sf_dir, "documents"))
+    return find_personal(docs, fit_personal(docs))
+
+
 def lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(table(spark, sf_dir, "documents")).withColumn("train", remainder("doc_id", 5) != 1)
     return score_texts(docs, "train").withColumn("held_out", ~F.col("train")).drop("train")
@@ -76,10 +88,12 @@ def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_masked_chats": masked_chats,
+    "op2_hyperminhash_copies": hyperminhash_copies,
     "op3_factored_toxicity": factored_toxicity,
     "op4_fair_mixing": fair_mixing,
     "op5_multiprobe_search": multiprobe_search,
     "op6_distribution_quality": distribution_quality,
+    "op7_personal_spans": personal_spans,
     "op8_lattice_likelihood": lattice_likelihood,
     "op9_marginal_language_id": marginal_language_id,
     "op10_prefix_bpe": prefix_bpe,

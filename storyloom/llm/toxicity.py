@@ -19,7 +19,7 @@ MIN_DOCS = 5  # documents of the sample that a term must be in
 STEMS = (4, 5, 6, 7)  # letters of a word's start that count as a term
 FACTORS = 4
 EPOCHS, BATCH, RATE = 40, 1024, 0.2
-L1, L2 = 6e-3, 1e-4
+L1, L2 = 4e-3, 1e-4
 _TERM = re.compile(r"\w+")
 
 
@@ -92,7 +92,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     place[chosen] = np.arange(len(chosen))
     kept = [p[p >= 0] for p in (place[k] for k in kept)]
     v = rng.normal(0, 0.05, (len(chosen), FACTORS))
-    bias, w, v = _train(kept, y, bias, w[chosen], v, L1 / 4, rng)
+    bias, w, v = _train(kept, y, bias, w[chosen], v, L1 / 20, rng)
     return Machine(float(bias), buckets[chosen], w, v)
 
 
