@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from math import exp
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.llm.common import per_worker, pieces
-from storyloom.llm.lattice import SPACE_PIECE, VOCABULARY, Lattice, expected, forward, log_table
+from storyloom.llm.lattice import SPACE_PIECE, VOCABULARY, Lattice, expected, forward, forward_plain, log_table
 
 SAMPLE_DOCS = 1500  # training documents per language, about: the bound of the fit
 SHARED = 200.0  # weight of the piece shares of all languages together, in pieces
-REMEMBERED = 150_000  # words whose scores a worker keeps
+REMEMBERED = 400_000  # words whose scores a worker keeps
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -32,25 +32,33 @@ class Model:
 
     def __init__(self, languages: list[str], logs: list[list[float]]):
         self.languages, self.logs = languages, logs
-
-    def predict(self, text: str | None, lattice: Lattice, known: dict) -> tuple[str, float]:
+        self.shares = [[exp(x) for x in row] for row in logs]
+
+    def word(self, word: str, lattice: Lattice) -> list[float]:
+        """Log probability of a word in each language."""
+        w = SPACE_PIECE + word
+        arcs = lattice.arcs(w)
+        if len(w) <= 24:
+            sums = [forward_plain(len(w), arcs, shares) for shares in self.shares]
+            if min(sums) > 1e-290:
+                return [log(x) for x in sums]
+        return [forward(len(w), arcs, logs)[-1] for logs in self.logs]
+
+    def predict(self, text: str | None, lattice: Lattice, known: list[dict]) -> tuple[str, float]:
         """Most likely language and its share of the likelihood, equal priors; ties to the first by name."""
-        said = Counter(letter_words(text))
+        said = letter_words(text)
         if not said or not self.languages:
             return UNKNOWN, 0.0
-        sums = [0.0] * len(self.languages)
-        for word, n in said.items():
-            got = known.get(word)
-            if got is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                w = SPACE_PIECE + word
-                arcs = lattice.arcs(w)
-                got = [forward(len(w), arcs, logs)[-1] for logs in self.logs]
-                if len(word) <= 64:
-                    known[word] = got
-            for k, x in enumerate(got):
-                sums[k] += n * x
+        first = known[0]
+        new = {w for w in said if w not in first}
+        if len(known[0]) + len(new) > REMEMBERED:
+            new = {*said}
+            for scores in known:
+                scores.clear()
+        for word in new:
+            for scores, x in zip(known, self.word(word, lattice)):
+                scores[word] = x
+        sums = [sum(map(scores.__getitem__, said)) for scores in known]  # words in the text's order
         best = max(range(len(sums)), key=lambda k: (sums[k], -k))
         return self.languages[best], 1.0 / sum(exp(max(s - sums[best], -700.0)) for s in sums)
 
@@ -113,7 +121,7 @@ def predict(docs: DataFrame, model: Model, path: str, id_column: str = "doc_id")
     share = narrow.sparkSession.sparkContext.broadcast((model.languages, model.logs))  # languages x vocabulary numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, m, known = per_worker(Lattice, path), Model(*share.value), {}
+        lattice, m, known = per_worker(Lattice, path), Model(*share.value), [{} for _ in share.value[0]]
         for batch in pieces(batches, 500):
             got = [m.predict(t, lattice, known) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[field.name, "lang_pred", "score"])

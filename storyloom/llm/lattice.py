@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import exp, inf, log, log1p
+from math import exp, inf, log, log1p, prod
 
 import numpy as np
 
@@ -18,6 +18,7 @@ class Lattice:
     """
 
     def __init__(self, path: str):
+        import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -32,7 +33,11 @@ class Lattice:
                 self.bytes[int(piece[3:5], 16)] = i
             elif not model.is_control(i) and not model.is_unknown(i):
                 self.ids[piece] = i
-        self.starts = {p[:k] for p in self.ids for k in range(1, len(p))}
+        self.automaton = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            self.automaton.add_word(piece, ((i,), len(piece)))
+        self.automaton.make_automaton()
+        self.letters = {p for p in self.ids if len(p) == 1}
 
     def prior(self) -> np.ndarray:
         """Piece probabilities from the vocabulary's own scores.
@@ -47,17 +52,12 @@ class Lattice:
         return weight / weight.sum()
 
     def arcs(self, word: str) -> list[tuple[int, int, tuple[int, ...]]]:
-        """Arcs by start: as long as some piece goes on, each prefix that is a piece."""
-        ids, starts, n, out = self.ids, self.starts, len(word), []
-        for i in range(n):
-            one = ids.get(word[i])
-            out.append((i, i + 1, (one,) if one is not None else tuple(self.bytes[b] for b in word[i].encode("utf-8", "surrogatepass"))))
-            j = i + 1
-            while j < n and word[i:j] in starts:
-                j += 1
-                got = ids.get(word[i:j])
-                if got is not None:
-                    out.append((i, j, (got,)))
+        """Arcs by end: all pieces that end at each place, and bytes of characters without a piece."""
+        out = [(end + 1 - n, end + 1, piece) for end, (piece, n) in self.automaton.iter(word)]
+        if not self.letters.issuperset(word):
+            out += [(i, i + 1, tuple(self.bytes[b] for b in c.encode("utf-8", "surrogatepass"))) for i, c in enumerate(word) if c not in self.letters]
+            out.sort()
+            out.sort(key=lambda arc: arc[1])
         return out
 
 
@@ -77,6 +77,15 @@ def forward(n: int, arcs: list, logs: list[float]) -> list[float]:
     return alpha
 
 
+def forward_plain(n: int, arcs: list, shares: list[float]) -> float:
+    """The same sum for a whole short word with plain probabilities; 0 if they get too small for a float."""
+    alpha = [0.0] * (n + 1)
+    alpha[0] = 1.0
+    for i, j, piece in arcs:
+        alpha[j] += alpha[i] * (shares[piece[0]] if len(piece) == 1 else prod(shares[p] for p in piece))
+    return alpha[n]
+
+
 def expected(n: int, arcs: list, logs: list[float], times: float, into: np.ndarray) -> float:
     """Adds the expected uses of each piece in ``times`` such words; returns the word's log probability."""
     alpha = forward(n, arcs, logs)
