@@ -33,7 +33,8 @@ CONTROL_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "
 def masked_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = documents(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     more = spark.createDataFrame(CONTROL_CHAT, "conv_id long, turn long, role string, text string")
-    return digests(format_chats(chats.unionByName(more)))
+    shown = digests(format_chats(chats.unionByName(more)))
+    return shown.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
 def hyperminhash_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
