@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +28,7 @@ class PrefixEncoder:
 
     def __init__(self, path: str):
         import ahocorasick
-        import regex
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -55,12 +54,13 @@ class PrefixEncoder:
         self.automaton.make_automaton()
         self.letters = _byte_letters()
         words = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.find_any = regex.compile(words.replace(r"\s", r"\p{White_Space}")).findall
+        library = Tokenizer.from_file(path)
+        self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         letters, numbers = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼½¾"
         quick = words.replace(r"[\p{L}]", f"[{letters}]").replace(r"[\p{N}]", f"[{numbers}]").replace(r"\s\p{L}\p{N}", rf"\t-\r \x85\xa0{letters}{numbers}")
-        self.find_latin = re.compile(quick).findall  # the same pattern for texts up to U+024F, several times faster
+        self.find_latin = re.compile(quick).findall  # the same pattern for texts up to U+024F; for others the file's rules are left to their library
         self.beyond_latin = re.compile("[^\x00-\u024f]").search
-        self.cut_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split
+        self.cut_added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")").split
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
@@ -122,31 +122,41 @@ class PrefixEncoder:
             n = start[n]
         return ids[::-1]
 
-    def word(self, word: str) -> tuple[tuple[int, ...], str]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
+    def word(self, word: str, plain: str | None = None) -> tuple[tuple[int, ...], str]:
+        """Ids and decoding of a word; ``plain`` is the word in byte letters, if it is known."""
+        if plain is None:
             plain = word if word.isascii() and word.isprintable() else "".join(map(self.letters.__getitem__, word.encode("utf-8", "surrogatepass")))
-            ids = tuple(self.encode_word(plain))
-            found = (ids, " ".join(map(self.texts.__getitem__, ids)))
-            if len(word) <= 64:
-                self.known[word] = found
+        ids = tuple(self.encode_word(plain))
+        found = (ids, " ".join(map(self.texts.__getitem__, ids)))
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        if len(word) <= 64:
+            self.known[word] = found
         return found
 
+    def words(self, text: str) -> Iterator[tuple[tuple[int, ...], str]]:
+        """Ids and decoding of each word of a text without added tokens."""
+        known, word = self.known.get, self.word
+        if not self.beyond_latin(text):
+            low = text.lower()  # up to U+024F a text is its own NFC
+            if not self.beyond_latin(low):
+                for w in self.find_latin(low):
+                    yield known(w) or word(w)
+                return
+        for w, _ in self.split(self.normal(text)):
+            key = "\n" + w  # no word of the other way holds a line break
+            yield known(key) or word(key, w)
+
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids of a whole text and its decoding."""
         ids: list[int] = []
         shown: list[str] = []
-        known, word = self.known.get, self.word
         for part in self.cut_added(text) if "<|" in text else (text,):
             if part in self.added:
                 ids.append(self.added[part])
                 shown.append(part)
                 continue
-            plain = lower(unicodedata.normalize("NFC", part))
-            for w in self.find_any(plain) if self.beyond_latin(plain) else self.find_latin(plain):
-                found = known(w) or word(w)
+            for found in self.words(part):
                 ids.extend(found[0])
                 shown.append(found[1])
         return ids, " ".join(shown)
@@ -155,11 +165,6 @@ class PrefixEncoder:
         return " ".join(map(self.texts.__getitem__, ids))
 
 
-def lower(text: str) -> str:
-    """Lower case of each character on its own: a capital sigma has no special form at a word's end."""
-    return text.lower() if text.isascii() else text.replace("Σ", "σ").lower()
-
-
 def _byte_letters() -> list[str]:
     """The letter that stands for each byte: itself where it is visible, else the next one from 256 on."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}

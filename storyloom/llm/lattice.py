@@ -103,5 +103,24 @@ def expected(n: int, arcs: list, logs: list[float], times: float, into: np.ndarr
     return total
 
 
+def expected_plain(n: int, arcs: list, shares: list[float], times: float, into: list[float]) -> bool:
+    """The same uses with plain probabilities, for short words; False, and nothing added, if they get too small."""
+    alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
+    alpha[0] = beta[n] = 1.0
+    weighed = [(i, j, piece, shares[piece[0]] if len(piece) == 1 else prod(shares[p] for p in piece)) for i, j, piece in arcs]
+    for i, j, _, x in weighed:
+        alpha[j] += alpha[i] * x
+    if alpha[n] < 1e-290:
+        return False
+    for i, j, _, x in reversed(weighed):
+        beta[i] += beta[j] * x
+    scale = times / alpha[n]
+    for i, j, piece, x in weighed:
+        use = alpha[i] * x * beta[j] * scale
+        for p in piece:
+            into[p] += use
+    return True
+
+
 def log_table(p: np.ndarray) -> list[float]:
     return [log(x) if x > 0 else -inf for x in p.tolist()]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.llm.common import per_worker, stage, words_of
-from storyloom.llm.lattice import SPACE_PIECE, VOCABULARY, Lattice, expected, forward, log_table
+from storyloom.llm.lattice import SPACE_PIECE, VOCABULARY, Lattice, expected, expected_plain, forward, log_table
 
 BLOCK_BITS = 12  # 4096 documents share one table of word scores
 PRIOR_WORDS = 1000.0  # weight of the vocabulary's own scores, in pieces
@@ -81,12 +81,16 @@ def _fit(counts: DataFrame, ends: int, path: str) -> list[float]:
 
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = per_worker(Lattice, path)
-        logs = log_table(lattice.prior())
-        sums = np.zeros(lattice.size)
+        prior = lattice.prior()
+        logs, shares = log_table(prior), prior.tolist()
+        sums, long_sums = [0.0] * lattice.size, np.zeros(lattice.size)
         for batch in batches:
             for word, c in zip(*(x.to_pylist() for x in batch.columns)):
                 w = _as_word(word)
-                expected(len(w), lattice.arcs(w), logs, c, sums)
+                arcs = lattice.arcs(w)
+                if len(w) > 32 or not expected_plain(len(w), arcs, shares, c, sums):
+                    expected(len(w), arcs, logs, c, long_sums)
+        sums = np.array(sums) + long_sums
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(sums[used])], names=["piece", "uses"])
 
