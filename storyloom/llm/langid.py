@@ -24,7 +24,10 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 def letter_words(text: str | None) -> list[str]:
     """Runs of letters in lower case."""
-    return [w for w in _LETTERS.findall((text or "").lower()) if w.isalpha()]
+    words = _LETTERS.findall((text or "").lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return "".join(c if c.isalpha() else " " for c in " ".join(words)).split()  # raised digits and the like count as word characters
 
 
 class Model:

@@ -48,7 +48,8 @@ class Lattice:
         rank = np.where(self.scores > -1e8, -self.scores, self.size)
         rank[[*self.bytes, self.end]] = self.size
         weight = 1.0 / (rank + 10.0)
-        weight[[i for i in range(self.size) if i not in set(self.ids.values()) and i not in set(self.bytes) and i != self.end]] = 0
+        used = {*self.ids.values(), *self.bytes, self.end}
+        weight[[i for i in range(self.size) if i not in used]] = 0
         return weight / weight.sum()
 
     def arcs(self, word: str) -> list[tuple[int, int, tuple[int, ...]]]:

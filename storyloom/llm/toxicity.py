@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ BUCKETS = 1 << 26  # of hashed terms
 MIN_DOCS = 5  # documents of the sample that a term must be in
 STEMS = (4, 5, 6, 7)  # letters of a word's start that count as a term
 FACTORS = 4
-EPOCHS, BATCH, RATE = 40, 1024, 0.2
+STEPS, BATCH, RATE = 240, 1024, 0.2
 L1, L2 = 4e-3, 1e-4
 _TERM = re.compile(r"\w+")
 
@@ -91,7 +92,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     place = np.full(len(buckets), -1)
     place[chosen] = np.arange(len(chosen))
     kept = [p[p >= 0] for p in (place[k] for k in kept)]
-    v = rng.normal(0, 0.05, (len(chosen), FACTORS))
+    v = rng.normal(0, 0.1, (len(chosen), FACTORS))
     bias, w, v = _train(kept, y, bias, w[chosen], v, L1 / 20, rng)
     return Machine(float(bias), buckets[chosen], w, v)
 
@@ -100,7 +101,7 @@ def _train(rows: list[np.ndarray], y: np.ndarray, bias: float, w: np.ndarray, v:
     w, n_terms = w.copy(), len(w)
     gw, gb = np.full(n_terms, 1e-4), 1e-4
     gv = None if v is None else np.full(v.shape, 1e-4)
-    for _ in range(EPOCHS):
+    for _ in range(math.ceil(STEPS / math.ceil(len(rows) / BATCH))):
         order = rng.permutation(len(rows))
         for a in range(0, len(order), BATCH):
             part = order[a : a + BATCH]
