@@ -84,7 +84,8 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     if not len(buckets):
         return none
     rng = np.random.default_rng(seed)
-    kept = [np.searchsorted(buckets, t[np.isin(t, buckets)]) for t in texts]
+    places = [np.minimum(np.searchsorted(buckets, t), len(buckets) - 1) for t in texts]
+    kept = [p[buckets[p] == t] for p, t in zip(places, texts)]
     bias, w, _ = _train(kept, y, bias, np.zeros(len(buckets)), None, L1, rng)
     chosen = np.flatnonzero(w)
     if not len(chosen):
