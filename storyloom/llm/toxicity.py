@@ -20,7 +20,7 @@ MIN_DOCS = 5  # documents of the sample that a term must be in
 STEMS = (4, 5, 6, 7)  # letters of a word's start that count as a term
 FACTORS = 4
 STEPS, BATCH, RATE = 240, 1024, 0.2
-L1, L2 = 4e-3, 1e-4
+L1, L2 = 7e-3, 1e-4
 _TERM = re.compile(r"\w+")
 
 
