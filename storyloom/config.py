@@ -10,7 +10,7 @@ from dataclasses import asdict, dataclass, replace
 class StoryParams:
     window_size: int = 14  # days an article stays in the window
     slide_size: int = 7  # days added per step
-    num_windows: int = 10
+    num_windows: int | None = None  # all slides by default
     min_articles: int = 6  # smallest new cluster
     n_keywords: int = 10
     temperature: float = 4
@@ -22,7 +22,7 @@ class StoryParams:
     def __post_init__(self):
         if self.keyword_score not in ("tfidf", "bm25"):
             raise ValueError(f"unknown keyword score: {self.keyword_score}")
-        if min(self.window_size, self.slide_size, self.num_windows, self.min_articles, self.n_keywords) < 1:
+        if min(self.window_size, self.slide_size, self.num_windows or 1, self.min_articles, self.n_keywords) < 1:
             raise ValueError("sizes must be at least 1")
 
     @property

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # rows of one key value that a single task may get
-HOT_KEYS = 10_000  # bound of the broadcast list of frequent key values
 
 
 def join_frequent(
@@ -23,19 +22,16 @@ def join_frequent(
     ``per_key[frequency]`` tells how many rows of ``rows`` carry the key. A key with
     more than ``hot_rows`` of them is cut into parts by a hash of ``spread``, and its
     single row is repeated once per part, so no task gets more than about
-    ``hot_rows`` rows of it. Only the list of the hottest keys is broadcast; it is
-    bounded by ``HOT_KEYS`` rows. The result is the plain join, and without any hot key
+    ``hot_rows`` rows of it. Every such key is split; their list is as long as the rows
+    over ``hot_rows``, and Spark broadcasts it only under its own size limit. The result is the plain join, and without any hot key
     so is the plan; ``per_key`` should be a written table, as it is looked at first.
     """
     hot = (
         per_key.filter(F.col(frequency) > hot_rows)
-        .orderBy(F.col(frequency).desc(), *keys)
-        .limit(HOT_KEYS)
         .select(*keys, F.ceil(F.col(frequency) / hot_rows).cast("int").alias("_parts"))
     )
     if hot.isEmpty():
         return rows.join(per_key, keys, how)
-    hot = F.broadcast(hot)
     left = rows.join(hot, keys, "left").withColumn(
         "_part", F.coalesce(F.pmod(F.xxhash64(F.col(spread)), F.col("_parts")), F.lit(0)).cast("int")
     )

@@ -218,7 +218,7 @@ ORACLES: dict[str, str] = {
     "articles_of_last_days": sql("select id, date, title, text from art where created_at between timestamp '2024-01-26' and timestamp '2024-02-05 12:00:00'"),
     "articles_of_today": sql("select id, date, title from art where created_at >= timestamp '2024-02-03' and created_at < timestamp '2024-02-04'"),
     "unprocessed_articles": sql("select id, date, title from art where created_at >= timestamp '2024-01-06' and created_at <= timestamp '2024-02-05 12:00:00' and lang = 'en'"),
-    "processed_articles_since": sql("select id source_article_id, date, title, created_at from art where date >= timestamp '2024-01-20' order by date desc, id limit 100"),
+    "processed_articles_since": sql("select id source_article_id, date, title, created_at from art where date >= timestamp '2024-01-20' order by date desc, id"),
     "processed_articles_on_day": sql("select id source_article_id, date, title from art where date >= timestamp '2024-01-20' and date < timestamp '2024-01-21'"),
     "chunks_grouped_by_article": sql("select source_article_id, cast(sent_idx as int) place, chunk_id, text from chunk where source_article_id in (select id from art where date >= timestamp '2024-01-20')"),
     "chunk_vectors": sql("""select chunk_id, source_article_id, round(sqrt(sum(v * v)), 6) length, round(max(case when dim = 0 then v end), 6) first_value

@@ -84,7 +84,7 @@ def unprocessed_articles(spark, sf):
 
 @query
 def processed_articles_since(spark, sf):
-    found = reads.processed_since(tb.stored_articles(spark, sf), "2024-01-20 00:00:00", TOP_LIMIT)
+    found = reads.processed_since(tb.stored_articles(spark, sf), "2024-01-20 00:00:00")
     return found.select("source_article_id", "date", "title", ntz("created_at"))
 
 
@@ -807,7 +807,7 @@ def run_totals(spark, sf):
 
 @query
 def projection_2d(spark, sf):
-    return reports.project_2d(tb.clustered(spark, sf), sample=1500).select("id", "cluster", "sim", r("x").alias("x"), r("y").alias("y"))
+    return reports.project_2d(tb.clustered(spark, sf), sample=None).select("id", "cluster", "sim", r("x").alias("x"), r("y").alias("y"))
 
 
 # --- evaluation --------------------------------------------------------------------------

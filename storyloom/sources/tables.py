@@ -87,6 +87,22 @@ def write_version(df: DataFrame, folder: str, version: int) -> DataFrame:
     return stage(df, f"{folder}/v={version}")
 
 
+def claim_version(spark: SparkSession, root: str, writer: str, newest: int | None) -> int:
+    """Version that ``writer`` (a stream's checkpoint and batch) may write: its own from before, or the next one.
+
+    The claim is written before the tables, so a batch that is replayed finds its version
+    again however far it came, and never builds on its own result.
+    """
+    schema = "version bigint, writer string"
+    if path_exists(spark, f"{root}/claims"):
+        mine = spark.read.schema(schema).parquet(f"{root}/claims/v=*").filter(F.col("writer") == writer).agg(F.max("version")).first()[0]
+        if mine is not None:
+            return mine
+    version = 0 if newest is None else newest + 1
+    write_version(spark.createDataFrame([(version, writer)], schema), f"{root}/claims", version)
+    return version
+
+
 def read_json_articles(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """File data set with nested arrays, with an explicit schema."""
     return spark.read.schema(schema).json(path)

@@ -14,7 +14,7 @@ from storyloom.plans.ingest import ingest_all, ingest_daily, ingest_days, read_s
 from storyloom.session import new_workspace
 from storyloom.sources import clusters as cs
 from storyloom.sources.articles import assemble_sentences, fetch_processed, read_articles_from_days, read_dataset, vectors_of
-from storyloom.sources.tables import latest_version, upsert, write_version
+from storyloom.sources.tables import claim_version, latest_version, upsert, write_version
 from storyloom.streaming.assign import read_cluster_store, start_assign, write_cluster_store
 from storyloom.streaming.ingest import raw_article_stream, start_ingest
 
@@ -208,3 +208,37 @@ def test_half_written_versions_are_ignored(spark):
     write_version(spark.range(3), folder, 0)
     spark.range(5).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{folder}/v=1")
     assert latest_version(spark, folder) == 0
+
+
+def test_stream_continues_the_store_of_a_cold_start(spark):
+    folder = new_workspace(spark, "stream")
+    every = raw(spark, 6)
+    ingest_all(every.filter("id in ('r0', 'r1', 'r2')"), f"{folder}/store", embed, NOW)
+    every.filter("id in ('r3', 'r4', 'r5')").coalesce(1).write.parquet(f"{folder}/in")
+    start_ingest(raw_article_stream(spark, f"{folder}/in"), f"{folder}/store", f"{folder}/cp", embed, NOW).awaitTermination()
+    got = read_store(spark, f"{folder}/store")
+    assert sorted(r[0] for r in got.articles.select("source_article_id").collect()) == [f"r{i}" for i in range(6)]
+
+
+def test_one_row_per_id_is_stored(spark):
+    twice = raw(spark, 6).unionByName(raw(spark, 6).filter("id = 'r0'"))
+    got = ingest_all(twice, new_workspace(spark, "ingest"), embed, NOW)
+    assert got.articles.count() == 6
+    assert got.chunks.count() == got.chunks.select("chunk_id").distinct().count()
+
+
+def test_replayed_batch_finds_its_version(spark):
+    root = new_workspace(spark, "claims")
+    assert claim_version(spark, root, "a#0", None) == 0
+    assert claim_version(spark, root, "a#1", 0) == 1
+    assert claim_version(spark, root, "a#0", 1) == 0
+    assert claim_version(spark, root, "b#0", 4) == 5
+
+
+def test_ranges_only_grow_without_all_dates(spark):
+    clusters, assignments = cluster_store(spark)
+    before = {r.cluster_id: (r.date_range_start, r.date_range_end) for r in clusters.collect()}
+    few = raw(spark, 12).select("id", F.col("published").alias("date")).filter("id = 'r0'")
+    for r in cs.update_date_ranges(clusters, assignments, few, NOW, widen=True).collect():
+        start, end = before[r.cluster_id]
+        assert (start is None or r.date_range_start <= start) and (end is None or r.date_range_end >= end)
