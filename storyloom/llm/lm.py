@@ -45,10 +45,10 @@ def score_texts(docs: DataFrame, train: str, path: str | None = None) -> DataFra
     ends = rows.filter("train").count()
     total, distinct = seen + ends, kinds + (ends > 0)
     logs = _fit(counts, ends, path)
-    known = counts.mapInArrow(_word_scores(logs, path), "word binary, c long, lp double")
+    known = counts.mapInArrow(_word_scores(logs, path), "word binary, c long, lp float")
     back = asked.select("block", "word").join(known, "word")
     table = back.select("block", F.lit(0).alias("kind"), "word", "c", "lp", *(F.lit(None).cast(t).alias(n) for n, t in (("doc_id", rows.schema["doc_id"].dataType), ("text", "string"), ("train", "boolean"))))
-    texts = rows.select("block", F.lit(1).alias("kind"), *(F.lit(None).cast(t).alias(n) for n, t in (("word", "binary"), ("c", "long"), ("lp", "double"))), "doc_id", "text", "train")
+    texts = rows.select("block", F.lit(1).alias("kind"), *(F.lit(None).cast(t).alias(n) for n, t in (("word", "binary"), ("c", "long"), ("lp", "float"))), "doc_id", "text", "train")
     met = table.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return met.mapInArrow(
@@ -109,7 +109,7 @@ def _word_scores(logs: list[float], path: str):
         for batch in batches:
             words = (_as_word(w) for w in batch.column(0).to_pylist())
             lp = [forward(len(w), lattice.arcs(w), logs)[-1] for w in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lp, pa.float64())], names=["word", "c", "lp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(lp, np.float32))], names=["word", "c", "lp"])
 
     return run
 
