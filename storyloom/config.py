@@ -22,7 +22,7 @@ class StoryParams:
     def __post_init__(self):
         if self.keyword_score not in ("tfidf", "bm25"):
             raise ValueError(f"unknown keyword score: {self.keyword_score}")
-        if min(self.window_size, self.slide_size, self.num_windows or 1, self.min_articles, self.n_keywords) < 1:
+        if min(self.window_size, self.slide_size, 1 if self.num_windows is None else self.num_windows, self.min_articles, self.n_keywords) < 1:
             raise ValueError("sizes must be at least 1")
 
     @property
