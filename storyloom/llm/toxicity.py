@@ -20,7 +20,9 @@ MIN_DOCS = 5  # documents of the sample that a term must be in
 STEMS = (4, 5, 6, 7)  # letters of a word's start that count as a term
 FACTORS = 4
 STEPS, BATCH, RATE = 240, 1024, 0.2
-L1, L2 = 7e-3, 1e-4
+Z = 5.0  # standard errors by which a term's mean gradient has to differ from 0: its L1 penalty
+L2 = 1e-4
+BLOCK = 1024  # terms, and documents, that are met at once in the search for pairs
 _TERM = re.compile(r"\w+")
 
 
@@ -70,9 +72,10 @@ class Machine:
 def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     """A machine from hashed texts and 0/1 labels.
 
-    First a linear part with an L1 penalty, which drops the terms that say nothing; then weights and
-    factors of the kept terms together, so that pairs add what single weights miss. AdaGrad
-    in a fixed order of the rows.
+    First a linear part over all terms, with an L1 penalty of ``Z`` standard errors of each term's own
+    gradient, so that rare terms are held to the same rule as frequent ones. A term is dropped only if neither
+    it nor any pair that it is in says something beyond that part; weights and factors of the others are
+    trained together. AdaGrad in a fixed order of the rows.
     """
     if not len(texts):
         return Machine(0.0, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
@@ -86,19 +89,72 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     rng = np.random.default_rng(seed)
     places = [np.minimum(np.searchsorted(buckets, t), len(buckets) - 1) for t in texts]
     kept = [p[buckets[p] == t] for p, t in zip(places, texts)]
-    bias, w, _ = _train(kept, y, bias, np.zeros(len(buckets)), None, L1, rng)
-    chosen = np.flatnonzero(w)
+    share = (y.sum() + 0.5) / (len(y) + 1)
+    l1 = Z * np.sqrt(np.bincount(np.concatenate(kept), minlength=len(buckets)) * share * (1 - share)) / len(y)
+    bias, w, _ = _train(kept, y, bias, np.zeros(len(buckets)), None, l1, rng)
+    expected = sigmoid(bias + np.array([w[k].sum() for k in kept]))
+    chosen = np.union1d(np.flatnonzero(w), _paired(kept, y, expected, len(buckets)))
     if not len(chosen):
         return none
     place = np.full(len(buckets), -1)
     place[chosen] = np.arange(len(chosen))
     kept = [p[p >= 0] for p in (place[k] for k in kept)]
     v = rng.normal(0, 0.1, (len(chosen), FACTORS))
-    bias, w, v = _train(kept, y, bias, w[chosen], v, L1 / 20, rng)
+    bias, w, v = _train(kept, y, bias, w[chosen], v, l1[chosen] / 20, rng)
     return Machine(float(bias), buckets[chosen], w, v)
 
 
-def _train(rows: list[np.ndarray], y: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray | None, l1: float, rng) -> tuple:
+def _paired(rows: list[np.ndarray], y: np.ndarray, expected: np.ndarray, n_terms: int) -> np.ndarray:
+    """Terms of all pairs found in more toxic texts than the ``expected`` chances of the pair's texts explain.
+
+    Every pair that MIN_DOCS toxic texts share is tried; the Poisson excess has to pass the log of the number of
+    pairs. Two bounds save work without losing a pair: its excess is at most the sum of p - 1 - log p over
+    the toxic texts of either term, and toxic texts alone give a lower bound of the expectation.
+    """
+    toxic = np.flatnonzero(y > 0)
+    if not len(toxic):
+        return np.zeros(0, np.int64)
+    flat, p = np.concatenate([rows[i] for i in toxic]), np.maximum(expected[toxic], 1e-12)
+    often = np.bincount(flat, minlength=n_terms) >= MIN_DOCS
+    needed = 2 * math.log(max(often.sum(), 1)) + 2
+    terms_ = np.flatnonzero(often & (np.bincount(flat, np.repeat(p - 1 - np.log(p), [len(rows[i]) for i in toxic]), n_terms) > needed))
+    if len(terms_) < 2:
+        return np.zeros(0, np.int64)
+    place = np.full(n_terms, -1)
+    place[terms_] = np.arange(len(terms_))
+    x = np.zeros((len(rows), len(terms_)), np.uint8)
+    for i, r in enumerate(rows):
+        x[i, place[r][place[r] >= 0]] = 1
+    chance = expected.astype(np.float32)[:, None]
+
+    def together(docs: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray | None) -> np.ndarray:
+        out = np.zeros((len(one), len(two)), np.float32)
+        for a in range(0, len(docs), BLOCK):
+            part = docs[a : a + BLOCK]
+            left = x[np.ix_(part, one)].astype(np.float32)
+            out += (left if weight is None else left * weight[part]).T @ x[np.ix_(part, two)].astype(np.float32)
+        return out
+
+    def excess(seen: np.ndarray, mean: np.ndarray) -> np.ndarray:
+        mean = np.maximum(mean, 1e-3)
+        return np.where(seen > mean, seen * np.log(np.maximum(seen, 1) / mean) - (seen - mean), 0)
+
+    every, found = np.arange(len(rows)), np.zeros(len(terms_), bool)
+    for a in range(0, len(terms_), BLOCK):
+        one, two = np.arange(a, min(a + BLOCK, len(terms_))), np.arange(a, len(terms_))
+        seen = together(toxic, one, two, None)
+        open_ = (seen >= MIN_DOCS) & (excess(seen, together(toxic, one, two, chance)) > needed)
+        open_ &= two[None] > one[:, None]
+        i, j = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
+        if not len(i):
+            continue
+        sure = open_[np.ix_(i, j)] & (excess(seen[np.ix_(i, j)], together(every, one[i], two[j], chance)) > needed)
+        found[one[i[sure.any(1)]]] = True
+        found[two[j[sure.any(0)]]] = True
+    return terms_[found]
+
+
+def _train(rows: list[np.ndarray], y: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray | None, l1: np.ndarray, rng) -> tuple:
     w, n_terms = w.copy(), len(w)
     gw, gb = np.full(n_terms, 1e-4), 1e-4
     gv = None if v is None else np.full(v.shape, 1e-4)

@@ -202,6 +202,35 @@ def test_machine_learns_a_pair():
     assert got[0] > 0.5 > max(got[1:]) and len(got) == 5
 
 
+def _machine_scores(texts, labels, asked):
+    flat, ends = toxicity.hashed([toxicity.terms(t) for t in texts])
+    machine = toxicity.fit([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], np.array(labels))
+    return machine.scores(*toxicity.hashed([toxicity.terms(t) for t in asked]))
+
+
+def test_machine_learns_a_pair_of_neutral_terms():
+    rng = random.Random(4)
+    filler = [f"w{i}" for i in range(40)]
+    texts, labels = [], []
+    for i in range(4000):
+        one, two = i % 10 == 0, i // 10 % 10 == 0
+        toxic = one and two if one or two else i // 100 % 10 == 0  # a tenth of either term's texts, and of the others
+        texts.append(" ".join(rng.sample(filler, 6) + ["insult"] * one + ["group"] * two))
+        labels.append(int(toxic))
+    rate = lambda kept: np.mean([y for t, y in zip(texts, labels) if kept(t)])
+    assert rate(lambda t: "insult" in t) == rate(lambda t: "group" in t) == rate(lambda t: not {"insult", "group"} & set(t.split())) == 0.1
+    got = _machine_scores(texts, labels, ["insult group w1", "insult w1", "group w1", "w1 w2"])
+    assert got[0] > 0.5 > max(got[1:])
+
+
+def test_machine_learns_a_rare_term():
+    rng = random.Random(5)
+    filler = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.sample(filler, 6) + ["slur"] * (i % 10 == 0 and i % 500 != 0) + ["rare"] * (i % 500 == 0)) for i in range(4000)]
+    got = _machine_scores(texts, [int(i % 10 == 0) for i in range(4000)], ["rare w1", "slur w1", "w1 w2"])
+    assert min(got[:2]) > 0.5 > got[2]
+
+
 def test_machine_without_examples():
     machine = toxicity.fit([], np.zeros(0))
     assert machine.scores(*toxicity.hashed([["a"], []])).tolist() == [0.5, 0.5]
