@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
+from itertools import groupby
 from math import exp, inf, log1p
 
 import pyarrow as pa
@@ -95,6 +96,19 @@ class Run:
             start -= 1
         return start, self.groups[b][1]
 
+    def numbers(self) -> bool:
+        return sum(b - a for a, b in self.groups) >= 7 or len(self.groups) >= 4
+
+    def without(self, spans: list[tuple[int, int, int]]) -> Iterator[Run]:
+        """The run cut at ``spans``: a run for each row of groups between them, with marks right before it."""
+        free = [not any(a < y and x < b for a, _, b in spans) for x, y in self.groups]
+        for kept, part in groupby(range(len(free)), free.__getitem__):
+            part = list(part)
+            floor = max((b for _, _, b in spans if b <= self.groups[part[0]][0]), default=self.start)
+            run = Run(self.text, max(floor, self.span(part[0], part[0])[0]), self.groups[part[-1]][1])
+            if kept and run.numbers():
+                yield run
+
     def candidates(self) -> Iterator[tuple[int, int]]:
         """Segments of at most MAX_GROUPS groups with 7 to 19 digits, or four groups."""
         for a in range(len(self.groups)):
@@ -202,18 +216,22 @@ def _add(x: float, y: float) -> float:
 def runs_of(text: str) -> Iterator[Run]:
     for m in _RUN.finditer(text):
         run = Run(text, m.start(), m.end())
-        if sum(b - a for a, b in run.groups) >= 7 or len(run.groups) >= 4:
+        if run.numbers():
             yield run
 
 
 def all_spans(text: str, field: SpanField) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans, and base spans with the field's additions; an addition never touches a span that is there."""
+    """Base spans, and base spans with the field's additions; an addition never touches a span that is there.
+
+    A run that holds base spans is cut at them, and the field looks at the rest.
+    """
     base = base_spans(text)
     found: list[tuple[int, int, int]] = []
     if field.weights:
         for run in runs_of(text):
-            if not any(a < run.end and run.start < b for a, _, b in base):
-                found += field.decode(run)
+            inside = [s for s in base if s[0] < run.end and run.start < s[2]]
+            for part in run.without(inside) if inside else (run,):
+                found += field.decode(part)
     if " at " in text or "at]" in text or "at)" in text:
         for m in _MASKED_EMAIL.finditer(text):
             if "dot" in m[3] or m[2].strip() != "at":

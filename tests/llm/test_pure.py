@@ -148,6 +148,26 @@ def test_field_learns_shapes_and_keeps_probabilities():
     assert base == every and len(base) == 2
 
 
+def test_field_looks_beside_base_spans():
+    examples = []
+    for i in range(120):
+        t = f"+1 {200 + i} 555 {1000 + i}" if i % 2 else f"10.{i}.0.{i + 1}"
+        (a, kind, b), = pii.base_spans(t)
+        examples += pii._shown(t, a, b, [(a, kind, b)], random.Random(i))
+    field = pii.SpanField({})
+    field.train(examples)
+    assert pii.written(pii.all_spans("212-555-0199", field)[1]) == "phone:0:12"
+    for text, spans in (
+        ("+1 212 555 0100, 212-555-0199", "phone:0:15,phone:17:29"),
+        ("10.0.0.7, (212) 555-0100", "ip:0:8,phone:10:24"),
+        ("212-555-0199, 10.0.0.7, (212) 555-0100", "phone:0:12,ip:14:22,phone:24:38"),
+        ("10.0.0.7, 300", "ip:0:8"),
+        ("10.0.0.7 2024-01-15", "ip:0:8"),
+    ):
+        assert pii.written(pii.all_spans(text, field)[1]) == spans, text
+    assert pii.masked("call 10.0.0.7, (212) 555-0100.", field) == "call [IP], [PHONE]."
+
+
 def test_field_decoding_is_the_best_segmentation():
     rng = random.Random(4)
     run = next(pii.runs_of("x 12.34.56.78 90-1234-5678 y"))
