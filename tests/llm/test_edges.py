@@ -123,6 +123,26 @@ def test_search(spark):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_search_finds_all_that_there_is(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    few = rng.standard_normal((6, 64))
+    near = rng.standard_normal(48) + rng.standard_normal((300, 48)) / 10
+    rows = [(i, v.tolist()) for i, v in enumerate(few)] + [(100 + i, v.tolist()) for i, v in enumerate(near)] + [(99, (-near.mean(axis=0)).tolist())]
+    scaled = [(1000 + (7 * i) % 60, [2.0**i, 3 * 2.0**i, 2.0**i]) for i in range(-30, 30)]  # equal directions, no equal vectors
+    df = spark.createDataFrame(rows + scaled, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(ann.search(df, df.filter("vec_id < 100 or vec_id in (1000, 1059)")).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for i in range(6):
+        cos = few @ few[i] / np.linalg.norm(few, axis=1)
+        assert got[i] == [j for j in np.argsort(-cos) if j != i]
+    away = near @ near.mean(axis=0) / np.linalg.norm(near, axis=1)
+    assert got[99] == [100 + j for j in np.argsort(away)[:5]]
+    assert got[1000] == [1001, 1002, 1003, 1004, 1005] and got[1059] == [1000, 1001, 1002, 1003, 1004]
+
+
 def test_chats(spark):
     rows = [(1, 1, "assistant", None), (1, 0, None, "hi"), (1, 1, "assistant", None), (None, None, "user", "x"), (2, 0, "assistant", "y" * 100_000)]
     got = {r.conv_id: r for r in chat.digests(chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
