@@ -876,6 +876,12 @@ def _text_vectors(texts):
     return [[float(len(t)), float(t.count(" ")), float(t.count("e")), 1.0] for t in texts]
 
 
+def _arrive(rows, path):
+    """Writes an arrival in its own partitions; its number of files, which one batch takes."""
+    rows.write.parquet(path)
+    return max(len(rows.sparkSession.read.schema(rows.schema).parquet(path).inputFiles()), 1)
+
+
 @query
 def streamed_ingest(spark, sf):
     """Two arrivals of overlapping raw articles end up as one stored copy each."""
@@ -883,10 +889,11 @@ def streamed_ingest(spark, sf):
 
     folder = new_workspace(spark, "ingest")
     raw = tb.raw_articles(spark, sf)
-    raw.coalesce(1).write.parquet(f"{folder}/in")
-    raw.filter(F.col("published") >= F.lit(tb.MEMBERS_UNTIL).cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = raw_article_stream(spark, f"{folder}/in", files_per_batch=1)
-    start_ingest(stream, f"{folder}/store", f"{folder}/checkpoint", _text_vectors, tb.NOW).awaitTermination()
+    again = raw.filter(F.col("published") >= F.lit(tb.MEMBERS_UNTIL).cast("timestamp_ntz"))
+    for arrival, rows in enumerate((raw, again)):
+        n_files = _arrive(rows, f"{folder}/in/{arrival}")
+        stream = raw_article_stream(spark, f"{folder}/in/*", files_per_batch=n_files)
+        start_ingest(stream, f"{folder}/store", f"{folder}/checkpoint", _text_vectors, tb.NOW).awaitTermination()
     stored = read_store(spark, f"{folder}/store")
     chunks = stored.chunks.join(stored.vectors.select("chunk_id", "embedding"), "chunk_id")
     per_article = chunks.groupBy("source_article_id").agg(
@@ -897,19 +904,19 @@ def streamed_ingest(spark, sf):
 
 @query
 def streamed_assignment(spark, sf):
-    """New articles arrive in two files; the cluster store is carried from batch to batch."""
+    """New articles arrive in two folders; the cluster store is carried from batch to batch."""
     from storyloom.plans.ingest import Stored
     from storyloom.streaming.assign import read_cluster_store, start_assign, write_cluster_store
 
     folder = new_workspace(spark, "arrivals")
     new = tb.articles(spark, sf).filter(F.col("date") >= F.lit("2024-01-22").cast("timestamp_ntz")).select("id", "date")
     cut = F.lit("2024-01-29").cast("timestamp_ntz")
-    new.filter(F.col("date") < cut).select("id").coalesce(1).write.parquet(f"{folder}/in")
-    new.filter(F.col("date") >= cut).select("id").coalesce(1).write.mode("append").parquet(f"{folder}/in")
     write_cluster_store(_clusters(spark, sf), _assignments(spark, sf), f"{folder}/store", 0)
-    stream = spark.readStream.schema("id string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     stored = Stored(tb.stored_articles(spark, sf), tb.stored_chunks(spark, sf), tb.stored_vectors(spark, sf), None)
     params = daily_plan.DAILY.with_(window_size=28, temperature=2)
-    start_assign(stream, stored, f"{folder}/store", f"{folder}/checkpoint", tb.NOW, params, days_back=28).awaitTermination()
+    for arrival, some in enumerate((new.filter(F.col("date") < cut), new.filter(F.col("date") >= cut))):
+        n_files = _arrive(some.select("id"), f"{folder}/in/{arrival}")
+        stream = spark.readStream.schema("id string").option("maxFilesPerTrigger", n_files).parquet(f"{folder}/in/*")
+        start_assign(stream, stored, f"{folder}/store", f"{folder}/checkpoint", tb.NOW, params, days_back=28).awaitTermination()
     _, rows = read_cluster_store(spark, f"{folder}/store")
     return rows.groupBy("cluster_id", "assignment_type").agg(F.count("*").alias("n"))

@@ -242,3 +242,17 @@ def test_ranges_only_grow_without_all_dates(spark):
     for r in cs.update_date_ranges(clusters, assignments, few, NOW, widen=True).collect():
         start, end = before[r.cluster_id]
         assert (start is None or r.date_range_start <= start) and (end is None or r.date_range_end >= end)
+
+
+def test_arrivals_keep_their_partitions(spark, tiny, monkeypatch):
+    from pathlib import Path
+
+    from storyloom.plans import queries
+
+    folders, raw_articles = [], queries.tb.raw_articles
+    monkeypatch.setattr(queries, "new_workspace", lambda s, name: folders.append(new_workspace(s, name)) or folders[-1])
+    monkeypatch.setattr(queries.tb, "raw_articles", lambda s, sf: raw_articles(s, sf).repartition(3))
+    queries.QUERIES["streamed_ingest"](spark, tiny)
+    written = [p.relative_to(folders[0]).parts[1] for p in Path(folders[0].removeprefix("file:")).glob("in/**/*.parquet")]
+    assert written.count("0") == written.count("1") == 3
+    assert len([*Path(folders[0]).glob("checkpoint/commits/[0-9]*")]) == 2
