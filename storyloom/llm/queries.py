@@ -20,6 +20,7 @@ from storyloom.llm.mixing import fair_mix
 from storyloom.llm.pii import find as find_personal
 from storyloom.llm.pii import fit as fit_personal
 from storyloom.llm.quality import quality
+from storyloom.llm.repair import damaged, repair
 from storyloom.llm.toxicity import learn as learn_toxicity
 from storyloom.llm.toxicity import score as score_toxicity
 
@@ -87,6 +88,12 @@ def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def repaired_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = documents(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    said = F.array_join(F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    return repair(damaged(chats), "present").withColumn("repaired_sha256", F.sha2(said, 256)).drop("repaired")
+
+
 QUERIES: dict[str, Query] = {
     "op1_masked_chats": masked_chats,
     "op2_hyperminhash_copies": hyperminhash_copies,
@@ -98,4 +105,5 @@ QUERIES: dict[str, Query] = {
     "op8_lattice_likelihood": lattice_likelihood,
     "op9_marginal_language_id": marginal_language_id,
     "op10_prefix_bpe": prefix_bpe,
+    "op13_branch_and_bound_repair": repaired_chats,
 }
