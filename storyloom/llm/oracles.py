@@ -112,8 +112,38 @@ from judged
 """
 
 
+def _bag_ranking() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    terms = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+with d as (
+    select row_number() over () as rid, doc_id, {terms} as ts from documents
+), sizes as (
+    select count(*) filter (len(ts) > 0) as n_docs, cast(sum(len(ts)) as bigint) as n_terms from d
+), counts as (
+    select rid, term, count(*) as tf from (select rid, unnest(ts) as term from d) group by rid, term
+), held as (
+    select term, count(*) as df from counts group by term
+), items as (
+    select row_number() over () as iid, item_id, list_distinct({terms}) as ts from benchmark
+), asked as (
+    select iid, item_id, a.term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) as bigint) as w
+    from (select iid, item_id, unnest(ts) as term from items) a join held using (term), sizes
+), normed as (
+    select rid, doc_id, 10 + (90 * len(ts) * n_docs) // n_terms as m from d, sizes
+), scored as (
+    select iid, item_id, rid, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+    from asked join counts using (term) join normed using (rid) group by all having sum(w) > 0
+), ranked as (
+    select *, cast(row_number() over (partition by iid order by score desc, doc_id nulls last) as integer) as rank from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_masked_chats": _masked_chats(),
     "op4_fair_mixing": _fair_mixing(),
     "op6_distribution_quality": _quality(),
+    "op12_bag_ranking": _bag_ranking(),
 }

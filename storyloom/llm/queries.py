@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.llm.ann import search
+from storyloom.llm.bag_rank import rank
 from storyloom.llm.bpe import encode, with_ids_digest
 from storyloom.llm.chat import digests, format_chats
 from storyloom.llm.common import documents, remainder, table
@@ -88,6 +89,10 @@ def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def bag_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank(documents(table(spark, sf_dir, "benchmark"), "item_id", "text"), documents(table(spark, sf_dir, "documents")))
+
+
 def repaired_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = documents(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     said = F.array_join(F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
@@ -105,5 +110,6 @@ QUERIES: dict[str, Query] = {
     "op8_lattice_likelihood": lattice_likelihood,
     "op9_marginal_language_id": marginal_language_id,
     "op10_prefix_bpe": prefix_bpe,
+    "op12_bag_ranking": bag_ranking,
     "op13_branch_and_bound_repair": repaired_chats,
 }
