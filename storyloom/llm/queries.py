@@ -13,6 +13,7 @@ from storyloom.llm.bpe import encode, with_ids_digest
 from storyloom.llm.chat import digests, format_chats
 from storyloom.llm.common import documents, remainder, table
 from storyloom.llm.dedup import near_copies
+from storyloom.llm.edit_print import compare_edits
 from storyloom.llm.langid import fit as fit_languages
 from storyloom.llm.langid import predict as predict_language
 from storyloom.llm.lattice import VOCABULARY as PIECES
@@ -89,6 +90,10 @@ def prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edits(documents(table(spark, sf_dir, "documents")))
+
+
 def bag_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank(documents(table(spark, sf_dir, "benchmark"), "item_id", "text"), documents(table(spark, sf_dir, "documents")))
 
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op8_lattice_likelihood": lattice_likelihood,
     "op9_marginal_language_id": marginal_language_id,
     "op10_prefix_bpe": prefix_bpe,
+    "op11_edit_prints": edit_prints,
     "op12_bag_ranking": bag_ranking,
     "op13_branch_and_bound_repair": repaired_chats,
 }
