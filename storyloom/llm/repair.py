@@ -81,12 +81,13 @@ def search(rows: tuple[Row, ...]) -> tuple[int, str]:
     """
     bounds = suffix_bounds(rows)
     best: tuple[int, str] | None = None
+    limit = bounds[0][_NONE]  # the whole conversation's bound: a prefix above it is left before there is an incumbent
     reached = [[_NEVER] * 4 for _ in range(len(rows) + 1)]
     stack: list[tuple[int, int, int, tuple | None]] = [(0, _NONE, 0, None)]
     while stack:
         at, state, cost, audit = stack.pop()
         total = cost + bounds[at][state]
-        if cost >= reached[at][state] or total >= _NEVER or (best and total >= best[0]):
+        if cost >= reached[at][state] or total > limit or (best and total >= best[0]):
             continue  # what is popped later never has an earlier audit, so equal totals go too
         reached[at][state] = cost
         if at == len(rows) and state in _ENDS:
