@@ -118,7 +118,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct sets (rep, digests, size) and verified links between them that connect what is to be connected.
+    """Distinct sets (rep: a number of their own, least doc_id, digests, size) and verified links between them that connect what is to be connected.
 
     Round one compares each member of a bucket with the bucket's hub, the member that meets most
     others in all buckets: of a text and its copies, the text. Round two compares the members that
@@ -127,7 +127,7 @@ def linked(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     sets = stage(
         prepared.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "text")).alias("least"), F.first("sketch").alias("sketch"))
-        .select(F.col("least.doc_id").alias("rep"), F.col("least.text").alias("text"), "n", "d1", "d2", "sketch")
+        .select(F.monotonically_increasing_id().alias("rep"), F.col("least.doc_id").alias("least"), F.col("least.text").alias("text"), "n", "d1", "d2", "sketch")
     )
     size = 2 * ROWS
     bands = sets.select("rep", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)), lambda i: F.substring(F.col("sketch"), i * size + 1, F.lit(size)))).alias("band", "key"))
@@ -241,19 +241,34 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document.
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, set, first: one row per document.
 
-    Documents with the same shingle set are one class with its smallest id; classes are linked if
-    their sets share at least 75 per cent of their union. Documents without words are linked with nothing; rows without
-    doc_id belong to no component (null, not kept), and do not link others. Repeated rows are each
-    returned. Ids are whole numbers; the smallest id of a component is kept.
+    ``set`` numbers distinct shingle sets (null without words); ``first`` is true for one set of each
+    component: of those that hold its smallest doc_id, the one with the smallest number. Documents
+    without words are first, as they are linked with nothing; rows without doc_id never are.
     """
     prepared = prepare(docs)
     sets, links = linked(prepared.filter(F.col("doc_id").isNotNull()))
     labels = components(links)
-    classes = sets.select("rep", "n", "d1", "d2").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    classes = classes.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    out = prepared.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id")).cast("long")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    classes = sets.select("rep", "least", "n", "d1", "d2").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    classes = classes.withColumn("component", F.coalesce("component", "rep"))
+    names = classes.groupBy("component").agg(F.min(F.struct("least", "rep")).alias("name"))
+    named = classes.join(names, "component").select("n", "d1", "d2", "rep", F.col("name.least").alias("component_id"), (F.col("rep") == F.col("name.rep")).alias("first"))
+    out = prepared.select("doc_id", F.xxhash64("text").alias("text_hash"), "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left")
+    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
+    first = F.col("doc_id").isNotNull() & F.coalesce("first", F.lit(True)) & (F.col("doc_id") == component)
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("rep").alias("set"), F.coalesce(first, F.lit(False)).alias("first"))
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document.
+
+    Documents with the same shingle set are one class; classes are linked if their sets share at
+    least 75 per cent of their union. Classes have numbers of their own, so one doc_id with several
+    texts has a row, and a component, for each. Documents without words are linked with nothing; rows without
+    doc_id belong to no component (null, not kept), and do not link others. Repeated rows are each
+    returned. A component is named by its smallest doc_id, whose rows are kept. Ids may be of any ordered type.
+    """
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    return grouped(docs).select("doc_id", "n_shingles", "component_id", kept)
