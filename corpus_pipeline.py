@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storyloom.llm.bpe import encode
 from storyloom.llm.common import stage, table
-from storyloom.llm.dedup import near_copies
+from storyloom.llm.dedup import grouped
 from storyloom.llm.mixing import fair_mix
 from storyloom.llm.pii import fit as fit_personal
 from storyloom.llm.pii import mask
@@ -30,14 +30,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; of rows with one id, the first by text.
+    """One document of each group of near copies: of the rows with its smallest id, one text.
 
-    Documents without an id cannot be grouped and stay.
+    Groups are made of texts, so different texts with one id both stay unless they are near copies; of
+    repeated rows one stays. Documents without an id cannot be grouped and stay. Null and empty texts are copies of nothing.
     """
-    named = docs.filter(F.col("doc_id").isNotNull())
-    kept = near_copies(docs.select("doc_id", "text")).filter("kept").select("doc_id").distinct()
-    one = named.join(kept, "doc_id", "left_semi").withColumn("_at", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-    return one.filter("_at = 1").drop("_at").select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    rows = _whole(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64(F.col("text").cast("string"))).drop("text")
+    first = grouped(docs.select("doc_id", "text")).filter("first")
+    kept = first.groupBy("doc_id", "set", F.when(F.col("set").isNull(), F.col("text_hash"))).agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")
+    one = Window.partitionBy("doc_id", "text_hash").orderBy(F.xxhash64("_row"))
+    stay = rows.join(kept, ["doc_id", "text_hash"], "left_semi").withColumn("_at", F.row_number().over(one)).filter("_at = 1")
+    return stay.select("_row.*").unionByName(rows.filter(F.col("doc_id").isNull()).select("_row.*"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
