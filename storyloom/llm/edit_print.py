@@ -196,3 +196,30 @@ def compare_edits(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), *columns], names=names)
 
     return placed.mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+
+
+def near_edits(docs: DataFrame, queries: DataFrame, edits: int = 32) -> DataFrame:
+    """Pairs of different texts at most ``edits`` apart: query_id, doc_id, edits.
+
+    Fingerprints are cut into bands of BAND slots; a query's text meets the texts that share a band,
+    each pair once, and the true edit distance is measured on the whole texts. A text is named by its
+    smallest id; equal texts are one and don't pair with themselves. Rows with a null id or text and
+    empty texts take no part. A pair whose share of equal slots is s is missed with chance
+    (1 - s^BAND)^(SLOTS / BAND), 5e-6 at s = 0.75. Empty tables give no pairs.
+    """
+
+    def classes(rows: DataFrame) -> DataFrame:
+        there = rows.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("doc_id").isNotNull() & (F.length("text") > 0))
+        return stage(there.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min(F.struct("doc_id", "text")).alias("one")).select("digest", "one.*"))
+
+    def bands(texts: DataFrame, name: str) -> DataFrame:
+        prints = fingerprints(texts.select(F.struct("doc_id", "digest").alias("doc_id"), "text"))
+        cut = F.transform(F.sequence(F.lit(0), F.lit(SLOTS // BAND - 1)), lambda i: F.substring(F.col("fingerprint"), i * (2 * BAND) + 1, F.lit(2 * BAND)))
+        return prints.select(F.col("doc_id.digest").alias(name), F.col("n_chars").alias(f"{name}_n"), F.posexplode(cut).alias("band", "key"))
+
+    asked, every = classes(queries), classes(docs)
+    met = bands(asked, "q").join(bands(every, "d"), ["band", "key"]).filter((F.col("q") != F.col("d")) & (F.abs(F.col("q_n") - F.col("d_n")) <= edits))
+    pairs = met.select("q", "d").distinct()
+    with_texts = pairs.join(asked.select(F.col("digest").alias("q"), F.col("doc_id").alias("query_id"), F.col("text").alias("q_text")), "q")
+    with_texts = with_texts.join(every.select(F.col("digest").alias("d"), "doc_id", F.col("text").alias("d_text")), "d")
+    return with_texts.select("query_id", "doc_id", F.levenshtein("q_text", "d_text", edits).alias("edits")).filter("edits >= 0")
