@@ -24,7 +24,7 @@ ROWS_AT_ONCE = 512  # articles multiplied in one step inside a tile
 PARTIAL = "id string, k bigint, sum_exp double, sum_cos double, best_sim double, best_cluster bigint"
 
 
-def _slots(rows: int, dim: int, tile_bytes: int) -> int:
+def slots(rows: int, dim: int, tile_bytes: int) -> int:
     return max(1, math.ceil(rows * dim * 8 / tile_bytes))
 
 
@@ -50,8 +50,8 @@ def score_against_centers(
     m = entries.count()
     if not n or not m:
         return spark.createDataFrame([], PARTIAL)
-    blocks = _slots(m, dim, tile_bytes)
-    slices = max(_slots(n, dim, tile_bytes), min(spark.sparkContext.defaultParallelism, math.ceil(n / 64)))
+    blocks = slots(m, dim, tile_bytes)
+    slices = max(slots(n, dim, tile_bytes), min(spark.sparkContext.defaultParallelism, math.ceil(n / 64)))
 
     def at(col: Column) -> Column:
         return (micros(col) if dated else F.lit(None).cast("bigint")).alias("at")
