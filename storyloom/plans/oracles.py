@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from storyloom.functions.words import STOP_WORDS
+from storyloom.plans.kmeans_sql import kmeans_sql
 
 STOP = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 LETTERS = r"'[\p{L}\p{N}]+'"
@@ -188,6 +189,7 @@ def _gate(sims: str) -> str:
         row_number() over (partition by id order by floor(sim * 1e12 + 0.5) desc, cluster_id) r from {sims}), kk where r = 1"""
 
 
+VECTORS = "select cast(vec_id as varchar) id, cast(embedding as double[]) e from embeddings"
 METRIC_PARTS = """
     cells as (select {by}, label, cluster, count(*) n from lab group by all),
     ls as (select {by}, label, sum(n) a from cells group by all),
@@ -359,6 +361,21 @@ ORACLES: dict[str, str] = {
         round_even(tf / sum(tf) over (partition by cluster_id), 5) prob from (select * from y qualify {_window_rank('cluster_id')} <= 10)
         """).replace("\nwith pc as (", ",\npc as (", 1),
     "keyword_history_rows": sql("select 3 window_id, cluster_id, string_agg(term, ',' order by rank) keywords from thm group by all"),
+    "spherical_kmeans_labels": kmeans_sql(VECTORS, "n // 50", """select label, count(*) size, round(sqrt(list_inner_product(any_value(c), any_value(c))), 6) center_length
+        from labels join cents using (label) group by label"""),
+    "spherical_kmeans_members": kmeans_sql(VECTORS, "n // 50", "select id, label from labels"),
+    "spherical_kmeans_centers": kmeans_sql(VECTORS, "n // 50", """select label, cast(generate_subscripts(c, 1) - 1 as int) dim, round(unnest(c), 6) "value" from cents"""),
+    "initial_clusters": kmeans_sql(sql("select id, list(v order by dim) e from aemb join sl using (id) where slide_id = 0 group by id"), "n // 6", """
+        select cluster, count(*) size, round(avg(sim), 6) avg_sim from (
+            select case when round((1 - p) - pow(1 - 1.0 / (k + 1), 4), 12) > 0 then -1 else label end as cluster,
+            case when round((1 - p) - pow(1 - 1.0 / (k + 1), 4), 12) > 0 then 0 else p end sim from (
+                select label, exp(4 * s) / sum(exp(4 * s)) over (partition by id) p, count(*) over (partition by id) k,
+                row_number() over (partition by id order by floor(s * 1e12 + 0.5) desc, label) place
+                from (select id, label, list_cosine_similarity(e, c) s from given cross join cents)) where place = 1)
+        group by cluster"""),
+    "outlier_groups": kmeans_sql(sql("select id, list(v order by dim) e from aemb group by id"), "n // 6", """
+        select 19 + row_number() over (order by label) as cluster, size
+        from (select label, count(*) size from labels group by label having count(*) >= 6)"""),
     "nearest_centers": sql("""select id, cluster_id, round(s, 6) cos from (select id, cluster_id, sum(v * c) / (any_value(a.nrm) * any_value(n.nrm)) s
         from aemb join cen using (dim) join anorm a using (id) join cnorm n using (cluster_id) group by all)
         qualify row_number() over (partition by id order by floor(s * 1e12 + 0.5) desc, cluster_id) = 1"""),

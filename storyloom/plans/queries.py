@@ -541,16 +541,30 @@ def mean_vectors_of_articles(spark, sf):
 # --- clustering ----------------------------------------------------------------------
 
 
-@query
-def spherical_kmeans_labels(spark, sf):
+def _vector_groups(spark, sf):
     points = tb.read(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("id"), F.col("embedding").cast("array<double>").alias("embedding")
     )
-    labels, centers = spherical_kmeans(points, points.count() // 50)
+    return spherical_kmeans(points, points.count() // 50)
+
+
+@query
+def spherical_kmeans_labels(spark, sf):
+    labels, centers = _vector_groups(spark, sf)
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
     return centers.join(sizes, "label").select("label", "size", r(vectors.norm(F.col("center"))).alias("center_length"))
 
 
+@query
+def spherical_kmeans_members(spark, sf):
+    return _vector_groups(spark, sf)[0]
+
+
+@query
+def spherical_kmeans_centers(spark, sf):
+    return by_dim(_vector_groups(spark, sf)[1], "center", "label")
+
+
 @query
 def initial_clusters(spark, sf):
     """k-means over the first window, then the confidence gate."""
