@@ -63,14 +63,15 @@ def concat(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def latest_version(spark: SparkSession, folder: str) -> int | None:
-    """Number of the newest version with a success marker."""
+def latest_version(spark: SparkSession, folder: str, up_to: int | None = None) -> int | None:
+    """Number of the newest version with a success marker, not above ``up_to``."""
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
         return None
     names = [s.getPath().getName() for s in fs.listStatus(jvm_path)]
     numbers = sorted((int(n[2:]) for n in names if n.startswith("v=")), reverse=True)
+    numbers = numbers if up_to is None else [n for n in numbers if n <= up_to]
     return next((n for n in numbers if path_exists(spark, f"{folder}/v={n}/_SUCCESS")), None)
 
 
@@ -88,21 +89,39 @@ def write_version(df: DataFrame, folder: str, version: int) -> DataFrame:
 
 
 def claim_version(spark: SparkSession, root: str, writer: str, newest: int | None) -> int:
-    """Version that ``writer`` (a stream's checkpoint and batch) may write: its own from before, or the next one.
+    """Version that ``writer`` may write: its own from before, or one that nobody wrote or claimed.
 
     The claim is written before the tables, so a batch that is replayed finds its version
-    again however far it came, and never builds on its own result.
+    again however far it came, and no other writer takes it meanwhile.
     """
     schema = "version bigint, writer string"
+    claimed = None
     if path_exists(spark, f"{root}/claims"):
-        mine = spark.read.schema(schema).parquet(f"{root}/claims/v=*").filter(F.col("writer") == writer).agg(F.max("version")).first()[0]
+        claims = spark.read.schema(schema).parquet(f"{root}/claims/v=*")
+        own = F.max(F.when(F.col("writer") == writer, F.col("version")))
+        mine, claimed = claims.agg(own, F.max("version")).first()
         if mine is not None:
             return mine
-    version = 0 if newest is None else newest + 1
+    version = max(-1 if v is None else v for v in (newest, claimed)) + 1
     write_version(spark.createDataFrame([(version, writer)], schema), f"{root}/claims", version)
     return version
 
 
+def take_version(spark: SparkSession, root: str, writer: str, last_table: str) -> tuple[int | None, int | None]:
+    """Version to write and the complete one to build on; no version when ``writer`` is done already.
+
+    ``last_table`` is the one whose version makes all others complete. A writer that failed and
+    was overtaken by others takes a new version on top of theirs. One writer works at a time.
+    """
+    newest = latest_version(spark, f"{root}/{last_table}")
+    version = claim_version(spark, root, writer, newest)
+    if path_exists(spark, f"{root}/{last_table}/v={version}/_SUCCESS"):
+        return None, newest
+    if newest is not None and newest > version:
+        version = claim_version(spark, root, f"{writer} after {newest}", newest)
+    return version, newest
+
+
 def read_json_articles(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """File data set with nested arrays, with an explicit schema."""
     return spark.read.schema(schema).json(path)

@@ -14,7 +14,7 @@ from storyloom.plans.ingest import ingest_all, ingest_daily, ingest_days, read_s
 from storyloom.session import new_workspace
 from storyloom.sources import clusters as cs
 from storyloom.sources.articles import assemble_sentences, fetch_processed, read_articles_from_days, read_dataset, vectors_of
-from storyloom.sources.tables import claim_version, latest_version, upsert, write_version
+from storyloom.sources.tables import claim_version, latest_version, take_version, upsert, write_version
 from storyloom.streaming.assign import read_cluster_store, start_assign, write_cluster_store
 from storyloom.streaming.ingest import raw_article_stream, start_ingest
 
@@ -235,6 +235,46 @@ def test_replayed_batch_finds_its_version(spark):
     assert claim_version(spark, root, "b#0", 4) == 5
 
 
+def test_replay_keeps_what_others_stored_meanwhile(spark):
+    folder = new_workspace(spark, "stream")
+    root, every = f"{folder}/store", raw(spark, 6)
+    ingest_all(every.filter("id in ('r0', 'r1')"), root, embed, NOW)
+    every.filter("id = 'r5'").coalesce(1).write.parquet(f"{folder}/in")
+    # the stream's first batch claims a version and dies; a batch ingest comes between
+    assert take_version(spark, root, f"{folder}/cp#0", "done") == (1, 0)
+    ingest_all(every.filter("id in ('r2', 'r3')"), root, embed, NOW)
+    assert latest_version(spark, f"{root}/done") == 2
+    start_ingest(raw_article_stream(spark, f"{folder}/in"), root, f"{folder}/cp", embed, NOW).awaitTermination()
+    got = read_store(spark, root)
+    assert sorted(r[0] for r in got.articles.select("source_article_id").collect()) == ["r0", "r1", "r2", "r3", "r5"]
+    # the batch is replayed once more after it was stored
+    assert take_version(spark, root, f"{folder}/cp#0 after 2", "done") == (None, 3)
+
+
+def test_failed_rows_are_retried_after_a_batch_ingest(spark):
+    folder = new_workspace(spark, "stream")
+    root, stream = f"{folder}/store", lambda: raw_article_stream(spark, f"{folder}/in")
+    sick = lambda texts: embed([t.replace("beta", "poison") for t in texts])
+    raw(spark, 1).coalesce(1).write.parquet(f"{folder}/in")
+    start_ingest(stream(), root, f"{folder}/cp", sick, NOW).awaitTermination()
+    ingest_all(raw(spark, 3).filter("id = 'r1'"), root, embed, NOW)
+    raw(spark, 3).filter("id = 'r2'").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    start_ingest(stream(), root, f"{folder}/cp", embed, NOW).awaitTermination()
+    got = read_store(spark, root)
+    assert sorted(r[0] for r in got.articles.select("source_article_id").collect()) == ["r0", "r1", "r2"]
+    assert got.quarantine.isEmpty()
+
+
+def test_ids_that_cannot_be_placed_are_set_aside(spark, stored):
+    folder = new_workspace(spark, "stream")
+    write_cluster_store(*cluster_store(spark), f"{folder}/store", 0)
+    spark.createDataFrame([("r0",), ("r15",), ("nobody",)], "id string").coalesce(1).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("id string").parquet(f"{folder}/in")
+    start_assign(stream, stored, f"{folder}/store", f"{folder}/cp", NOW, PARAMS, days_back=3).awaitTermination()
+    lost = spark.read.parquet(f"{folder}/store/unplaced/v=1")
+    assert {tuple(r) for r in lost.collect()} == {("r15", "outside the days looked at"), ("nobody", "not stored")}
+
+
 def test_ranges_only_grow_without_all_dates(spark):
     clusters, assignments = cluster_store(spark)
     before = {r.cluster_id: (r.date_range_start, r.date_range_end) for r in clusters.collect()}
