@@ -240,6 +240,9 @@ ORACLES: dict[str, str] = {
         union all select cast(id as bigint) * 1000000 + 500000 + sent_idx, id, sent_idx, sentence from sent join (select id, lang from art) using (id) where lang = 'en' and sent_idx > 0"""),
     "vector_metadata": sql("""select id source_article_id, length(left(sentence, 1000)) chars, left(sentence, 1000) as text, round(v, 6) first_value
         from sent join svid using (id, sent_idx) join emb using (vec_id) where dim = 0"""),
+    "reingested_vectors": sql("""select id source_article_id, sent_idx, round(case when late then 2 * v else v end, 6) first_value from (
+        select id, sent_idx, v, date >= timestamp '2024-02-02' and max(sent_idx) over (partition by id) > 0 late
+        from sent join svid using (id, sent_idx) join emb using (vec_id) where dim = 0) where not late or sent_idx > 0"""),
     "chunk_id_uniqueness": sql("select count(*) chunks, count(distinct id) articles, 0 collisions from sent"),
     "active_clusters": sql(f"select {CLUSTER_ROW} from clus join first using (cluster_id) where status = 'active'"),
     "appended_assignments": sql("""select id source_article_id, src cluster_id,

@@ -163,6 +163,18 @@ def vector_metadata(spark, sf):
     )
 
 
+@query
+def reingested_vectors(spark, sf):
+    """All vectors stored, then the articles of the last days again with other vectors and without their title."""
+    path = new_workspace(spark, "store") + "/vectors"
+    rows = tb.with_vectors(spark, sf, split_into_sentences(tb.articles(spark, sf)))
+    rows = rows.select(F.col("id").alias("source_article_id"), "date", "sent_idx", "embedding")
+    store.write_changes(rows, path)
+    late = rows.filter((F.col("date") >= F.lit("2024-02-02").cast("timestamp_ntz")) & (F.col("sent_idx") > 0))
+    stored = store.write_changes(late.withColumn("embedding", vectors.scale(F.col("embedding"), F.lit(2.0))), path)
+    return stored.select("source_article_id", "sent_idx", r(F.col("embedding")[0]).alias("first_value"))
+
+
 @query
 def chunk_id_uniqueness(spark, sf):
     chunks = store.chunk_rows(split_into_sentences(tb.articles(spark, sf)))

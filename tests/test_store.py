@@ -14,6 +14,7 @@ from storyloom.plans.ingest import ingest_all, ingest_daily, ingest_days, read_s
 from storyloom.session import new_workspace
 from storyloom.sources import clusters as cs
 from storyloom.sources.articles import assemble_sentences, fetch_processed, read_articles_from_days, read_dataset, vectors_of
+from storyloom.sources.store import write_changes
 from storyloom.sources.tables import claim_version, latest_version, take_version, upsert, write_version
 from storyloom.streaming.assign import read_cluster_store, start_assign, write_cluster_store
 from storyloom.streaming.ingest import raw_article_stream, start_ingest
@@ -296,3 +297,26 @@ def test_arrivals_keep_their_partitions(spark, tiny, monkeypatch):
     written = [p.relative_to(folders[0]).parts[1] for p in Path(folders[0].removeprefix("file:")).glob("in/**/*.parquet")]
     assert written.count("0") == written.count("1") == 3
     assert len([*Path(folders[0]).glob("checkpoint/commits/[0-9]*")]) == 2
+
+
+def test_a_change_writes_only_its_buckets(spark):
+    from pathlib import Path
+
+    path = new_workspace(spark, "buckets")
+    rows = spark.range(400).select(F.col("id").cast("string").alias("source_article_id"), F.lit(0).alias("x"), F.lit("a").alias("_new"))
+    write_changes(rows.unionAll(rows), path, buckets=64)
+    files = lambda: {str(f) for f in Path(path.removeprefix("file:")).glob("bucket=*/*.parquet")}
+    before = files()
+    change = rows.filter("source_article_id in ('7', '8', '9', '10')").withColumn("x", F.lit(1))
+    stored = write_changes(change, path, buckets=64)
+    after = files()
+    assert 0 < len(before - after) <= 4 and 0 < len(after - before) <= 4 and len(before & after) >= 56
+    assert stored.count() == 796 and stored.filter("x = 1").count() == 4
+    # the same again changes nothing, nor does an empty change; null keys are only added
+    assert write_changes(change, path, buckets=64).count() == 796
+    assert write_changes(change.limit(0), path, buckets=64).count() == 796
+    nobody = change.limit(1).withColumn("source_article_id", F.lit(None).cast("string"))
+    assert write_changes(nobody, path, buckets=64).count() == 797
+    empty = new_workspace(spark, "buckets")
+    assert write_changes(change.limit(0), empty, buckets=64).isEmpty()
+    assert write_changes(change, empty, buckets=64).count() == 4
