@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from storyloom.llm.bpe import encode
 from storyloom.llm.common import stage, table
 from storyloom.llm.dedup import grouped
-from storyloom.llm.mixing import fair_mix
+from storyloom.llm.mixing import fair_mix, text_size
 from storyloom.llm.pii import fit as fit_personal
 from storyloom.llm.pii import mask
 from storyloom.llm.quality import quality
@@ -50,10 +50,21 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; those that it doesn't take go."""
-    mixed = fair_mix(_whole(docs, "doc_id", "text", "source"), keep=("_row",))
+    """Each document as often as the mix takes it; those that it doesn't take go.
+
+    The mix knows doc_id, source and size alone, so only these and two hashes of the row move through it;
+    rows meet their number of times by the hashes. Equal rows have one number together: one of them is
+    repeated so often.
+    """
+    rows = _whole(docs, "doc_id", "text", "source")
+    hashes = {"_a": F.xxhash64("_row"), "_b": F.xxhash64(F.lit(1), "_row")}
+    sizes = stage(rows.select("doc_id", "source", text_size(F.col("text")).alias("size"), *(h.alias(n) for n, h in hashes.items())))
     times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
-    return mixed.select(F.explode(F.array_repeat("_row", times)).alias("_row")).select("_row.*")
+    mixed = fair_mix(sizes, keep=("_a", "_b")).groupBy("_a", "_b").agg(F.sum(times).cast("int").alias("times"), F.count(F.lit(1)).alias("equal"))
+    met = rows.select("_row").withColumns(hashes).join(stage(mixed.filter("times > 0")), ["_a", "_b"])
+    alone = met.filter("equal = 1").select("_row", "times")
+    equal = met.filter("equal > 1").groupBy("_a", "_b").agg(F.first("_row").alias("_row"), F.first("times").alias("times")).select("_row", "times")
+    return alone.unionByName(equal).select(F.explode(F.array_repeat("_row", F.col("times"))).alias("_row")).select("_row.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,9 +70,11 @@ def fair_mix(
     budget ends is sorted. The result depends on doc_id, source and size of the rows
     alone. Rows without words take nothing; an empty table gives an empty result; equal
     rows stand next to each other in the order, and which of them is first does not show.
+    ``docs`` has doc_id, source and text, or in its place the size of each text.
     """
     extra = [c for c in keep if c not in ("doc_id", "source")]
-    sized = docs.select(F.col("doc_id"), F.col("source"), text_size(F.col("text")).alias("size"), *(F.col(f"`{c}`").alias(f"_k_{c}") for c in extra))
+    size = F.col("size") if "size" in docs.columns and "text" not in docs.columns else text_size(F.col("text"))
+    sized = docs.select(F.col("doc_id"), F.col("source"), size.alias("size"), *(F.col(f"`{c}`").alias(f"_k_{c}") for c in extra))
     narrow = sized.select("source", "size")
     targets = source_targets(narrow, weights, repeats)
     keyed = sized.withColumn("key", shuffle_key(seed)).withColumn("cell", F.shiftright("key", 52 - 12))
