@@ -25,7 +25,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def letter_words(text: str | None) -> list[str]:
     """Runs of letters in lower case."""
     words = _LETTERS.findall((text or "").lower())
-    if all(map(str.isalpha, words)):
+    if "".join(words).isalpha():
         return words
     return "".join(c if c.isalpha() else " " for c in " ".join(words)).split()  # raised digits and the like count as word characters
 
@@ -53,7 +53,7 @@ class Model:
         if not said or not self.languages:
             return UNKNOWN, 0.0
         first = known[0]
-        new = {w for w in said if w not in first}
+        new = {*said}.difference(first)
         if len(known[0]) + len(new) > REMEMBERED:
             new = {*said}
             for scores in known:
