@@ -19,8 +19,11 @@ REGISTERS = 128  # buckets of a sketch; a register holds a leading-zero count an
 MANTISSA = 10
 ROWS = 4  # registers per band: 32 bands; a linked pair misses all of them with chance (1 - .75^4)^32 < 6e-6
 EMPTY = 0xFFFF
+NO_KEY = np.uint64(0xFFFFFFFFFFFFFFFF)  # of a band whose registers are all empty
 DEVIATIONS = 5  # of the estimate below the threshold that still reach verification
 BLOCK = 1024  # members of a bucket that meet others in one task
+BLOCK_SHINGLES = 1 << 20  # of a component's members that one task holds, at about
+ASKS = 1000  # sets that a task compares with a block of a component's members, at about
 _BITS = int(math.log2(REGISTERS))
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -121,9 +124,9 @@ def linked(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct sets (rep: a number of their own, least doc_id, digests, size) and verified links between them that connect what is to be connected.
 
     Round one compares each member of a bucket with the bucket's hub, the member that meets most
-    others in all buckets: of a text and its copies, the text. Round two compares the members that
-    round one left in different components. Both rounds estimate from sketches first and
-    confirm on the whole sets. Pairs inside a component that is already connected are not needed.
+    others in all buckets: of a text and its copies, the text. Round two asks for members that
+    round one left in different components whether one's set links to any of the other's component. Both rounds
+    estimate from sketches first and confirm on the whole sets. Pairs inside a component that is already connected are not needed.
     """
     sets = stage(
         prepared.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "text")).alias("least"), F.first("sketch").alias("sketch"))
@@ -140,10 +143,12 @@ def linked(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     sketches = sets.select("rep", "n", "sketch")
     first = stage(verify(_estimated(stars, sketches), sets))
     labels = stage(components(first))
-    where = met.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    weights = labels.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    weighed = labels.join(weights, "component").select(F.col("node").alias("rep"), "component", "weight")
+    where = met.join(weighed, "rep", "left").withColumns({"component": F.coalesce("component", "rep"), "weight": F.coalesce("weight", F.lit(1))})
     split = where.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("band", "key")
     open_ = where.join(split, ["band", "key"]).join(sketches, "rep")
-    second = verify(_crossing(open_).join(first.select(F.col("a").alias("rep"), F.col("b").alias("hub")), ["rep", "hub"], "left_anti"), sets)
+    second = _confirmed(_crossing(open_), labels, sets)
     return sets, first.unionByName(second)
 
 
@@ -162,40 +167,46 @@ def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _crossing(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components whose sketches may reach the threshold, each once.
+    """Sets (rep) and the components (target) that they may link to: some member lies in one bucket with the set and their sketches may reach the threshold.
 
-    A bucket is cut into blocks of about BLOCK members; each two blocks meet in a task of
-    their own, so a large bucket is spread.
+    Of two components the larger one (``weight``) is the target. A set asks for a component once, however
+    many of its members are close. A bucket is cut into blocks of about BLOCK members; each two blocks meet in
+    a task of their own, so a large bucket is spread.
     """
     parts = F.ceil(F.col("members") / BLOCK).cast("int")
     cut = members.withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     cut = cut.withColumns({"p": F.least("part", "other"), "q": F.greatest("part", "other")})
-    rows = cut.select("band", "key", "p", "q", (F.col("part") != F.col("p")).cast("int").alias("side"), "rep", "component", "n", "sketch")
+    rows = cut.select("band", "key", "p", "q", (F.col("part") != F.col("p")).cast("int").alias("side"), "rep", "component", "weight", "n", "sketch")
     rows = rows.repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "rep")
 
-    def compare(group: list[tuple], same: bool) -> Iterator[tuple[int, int]]:
-        left = group if same else [g for g in group if g[0] == 0]
-        right = group if same else [g for g in group if g[0] == 1]
-        if not left or not right or len({g[2] for g in group}) < 2:
-            return
-        reps, comps, sizes = (np.array([g[i] for g in right]) for i in (1, 2, 3))
-        sketches = np.frombuffer(b"".join(g[4] for g in right), ">u2").reshape(-1, REGISTERS)
-        for _, rep, comp, n, own in left:
-            ask = np.flatnonzero((comps != comp) & ((reps > rep) | (not same)))
+    def compare(group: list[tuple], band: int, same: bool) -> tuple[np.ndarray, np.ndarray] | None:
+        sides, reps, comps, weights, sizes = (np.array([g[i] for g in group]) for i in range(5))
+        named, comp = np.unique(comps, return_inverse=True)
+        start = 0 if same else int((sides == 0).sum())
+        if start == len(group) or len(named) < 2:
+            return None
+        sketches = np.frombuffer(b"".join(g[5] for g in group), ">u2").reshape(-1, REGISTERS)
+        before = sketches[:, : ROWS * band].copy().view(np.uint64).reshape(len(group), band)
+        found = []
+        for i in range(len(group) if same else start):
+            ask = max(start, i + 1 if same else 0)
+            ask = ask + np.flatnonzero(comp[ask:] != comp[i])
             if len(ask):
-                mine = np.frombuffer(own, ">u2")[None]
-                hit = ask[may_link(mine, sketches[ask], np.array([n]), sizes[ask])]
-                yield from ((max(rep, int(r)), min(rep, int(r))) for r in reps[hit])
+                hit = ask[may_link(sketches[i][None], sketches[ask], sizes[i : i + 1], sizes[ask])]
+                # a pair counts in the first bucket that both are in
+                hit = hit[~((before[hit] == before[i]) & (before[i] != NO_KEY)).any(axis=1)]
+                there = (weights[hit] > weights[i]) | ((weights[hit] == weights[i]) & (comp[hit] > comp[i]))
+                found.append(np.where(there, i * len(named) + comp[hit], hit * len(named) + comp[i]))
+        asks = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        return reps[asks // len(named)], named[asks % len(named)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, group, out = None, [], []
+        here, group = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            out.extend(compare(group, here[2] == here[3]))
-            for a in range(0, len(out), 100_000):
-                part = out[a : a + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in part], pa.int64()) for i in (0, 1)], names=["rep", "hub"])
-            out.clear()
+            asks = compare(group, here[0], here[2] == here[3])
+            if asks and len(asks[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in asks], names=["rep", "target"])
 
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
@@ -208,7 +219,78 @@ def _crossing(members: DataFrame) -> DataFrame:
         if group:
             yield from flush()
 
-    return rows.mapInArrow(run, "rep long, hub long").distinct()
+    return rows.mapInArrow(run, "rep long, target long").distinct()
+
+
+def _confirmed(asks: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between sets (rep) and components (target) that they ask for, confirmed on the whole sets of all members.
+
+    A target's members are cut into blocks of about BLOCK_SHINGLES shingles and its asking sets into parts of
+    about ASKS; each block meets each part in a task of its own. A set that shares too little with
+    the union of a block is linked with none of its members; others are counted against every member.
+    One link for a set and a block is enough, as the members are connected already.
+    """
+    asks = stage(asks)
+    wanted = asks.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / ASKS).cast("int").alias("parts"))
+    mine = labels.select(F.col("node").alias("rep"), F.col("component").alias("target"))
+    alone = wanted.select(F.col("target").alias("rep"), "target")  # a component is named by its smallest member
+    held = stage(mine.join(wanted.select("target"), "target", "left_semi").select("rep", "target").union(alone).distinct().join(sets.select("rep", "n"), "rep"))
+    blocks = held.groupBy("target").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")).join(wanted, "target")
+    number = lambda column: F.pmod(F.xxhash64("rep"), F.col(column)).cast("int")
+    spread = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
+    members = held.select("rep", "target").join(blocks, "target").select("rep", "target", number("blocks").alias("block"), spread("parts").alias("part"), F.lit(0).alias("kind"))
+    asking = asks.join(blocks, "target").select("rep", "target", spread("blocks").alias("block"), number("parts").alias("part"), F.lit(1).alias("kind"))
+    rows = _with_texts(members.unionByName(asking), sets).select("target", "block", "part", "kind", "rep", "text")
+    rows = rows.repartition("target", "block", "part").sortWithinPartitions("target", "block", "part", "kind", "rep")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, reps, own, index = None, [], [], None
+
+        def indexed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            sizes = np.array([len(s) for s in own])
+            values, owner = np.concatenate(own), np.repeat(np.arange(len(own)), sizes)
+            order = np.argsort(values, kind="stable")
+            return sizes, values[order], owner[order]
+
+        for batch in pieces(batches, 500):
+            out = []
+            keys = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            for key, kind, rep, shingles in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), shingle_sets(batch.column(5).to_pylist())):
+                if key != here:
+                    here, reps, own, index = key, [], [], None
+                if kind == 0:
+                    reps.append(rep)
+                    own.append(shingles)
+                    continue
+                if not own:  # a block that no member fell into
+                    continue
+                sizes, values, owner = index = index or indexed()
+                lo, hi = np.searchsorted(values, shingles, "left"), np.searchsorted(values, shingles, "right")
+                common = (hi > lo).sum()
+                need = SIMILAR * (len(shingles) + sizes)
+                if not ((100 + SIMILAR) * np.minimum(common, sizes) >= need).any():
+                    continue
+                count = hi - lo
+                at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+                shared = np.bincount(owner[at], minlength=len(own))
+                linked_to = np.flatnonzero((100 + SIMILAR) * shared >= need)
+                if len(linked_to):
+                    out.append((rep, reps[linked_to[0]]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _with_texts(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows with the text of their set (rep).
+
+    The rows and their sets' numbers are written first, so that Spark knows their size and sends them to the texts
+    where they are few; texts that no row asks for then never move.
+    """
+    rows = stage(rows)
+    asked = stage(sets.select("rep", "text").join(stage(rows.select("rep").distinct()), "rep", "left_semi"))
+    return rows.join(asked, "rep")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -218,10 +300,10 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     pairs = stage(pairs)
     parts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / 500).cast("int").alias("parts"))
-    texts = sets.select("rep", "text")
-    members = pairs.join(parts, "hub").join(texts, "rep").select("hub", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "rep", "text")
-    heads = parts.withColumnRenamed("hub", "rep").join(texts, "rep").select(F.col("rep").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "rep", "text")
-    rows = heads.unionByName(members).repartition("hub", "part").sortWithinPartitions("hub", "part", "kind")
+    members = pairs.join(parts, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "rep")
+    heads = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.col("hub").alias("rep"))
+    rows = _with_texts(heads.unionByName(members), sets).select("hub", "part", "kind", "rep", "text")
+    rows = rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.zeros(0, np.uint64)
