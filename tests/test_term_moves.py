@@ -80,3 +80,43 @@ def test_only_the_asked_terms_are_counted(spark):
     only = spark.createDataFrame([(1, "x"), (2, "x"), (2, "x y")], "cluster_id bigint, term string")
     got = terms.sentence_terms(sentences, only=only).collect()
     assert {(r.id, r.term, r.tf) for r in got} == {("a", "x", 2), ("a", "x y", 1)} and len(got) == 2
+
+
+@pytest.fixture
+def mixed_counts(spark):
+    """120 articles over 6 slides: repeated seldom and shared terms, a frequent one, one article in two slides, null keys."""
+    rows = []
+    for i in range(120):
+        s = i % 6
+        rows += [(f"a{i}", s, "often", 1 + i % 7)] + [(f"a{i}", s, f"own{i}-{j}", 1) for j in range(30)]
+        rows += [(f"a{i}", s, f"shared{(i + j) % 25}", 1 + (i * j) % 4) for j in range(5)]
+        rows += [(f"a{i}", s, f"burst{i % 3}", 9)] if s == 2 else []
+    rows += [("a7", 3, "own7-0", 5), ("a9", None, "often", 4), (None, 1, "shared1", 1), (None, 1, "often", 2), ("b", 5, "shared2", 1)]
+    return spark.createDataFrame(rows, "id string, slide_id int, term string, tf bigint")
+
+
+@pytest.mark.parametrize("method,time_aware,first,frequent", [("tfidf", True, 6, 4), ("tfidf", False, 1, 100), ("bm25", True, 2, 4)])
+def test_best_terms_are_the_top_of_all_scores(spark, mixed_counts, monkeypatch, method, time_aware, first, frequent):
+    articles = mixed_counts.select("id", "slide_id").distinct()
+    monkeypatch.setattr(terms, "SAMPLE_SHARE", 1)
+    monkeypatch.setattr(terms, "FREQUENT_TERMS", frequent)
+    monkeypatch.setattr(terms, "BEST_ROWS", first)
+    want = terms.top_terms(terms.score_terms(articles, mixed_counts, 3, time_aware, method), 3)
+    got = terms.best_terms(articles, mixed_counts, 3, 3, time_aware, method)
+    def shown(df):
+        return sorted(df.select("id", "slide_id", "rank", "term", "tf", F.round("score", 9)).collect(), key=repr)
+    assert shown(got) == shown(want)
+
+
+def test_terms_that_cannot_be_among_the_best_are_not_moved(spark, mixed_counts, monkeypatch):
+    scored, plain = [], terms._score_some
+    monkeypatch.setattr(terms, "_score_some", lambda some, *given: scored.append(some.count()) or plain(some, *given))
+    terms.best_terms(mixed_counts.select("id", "slide_id").distinct(), mixed_counts, 3, 3)
+    assert 0 < sum(scored) < mixed_counts.count() / 3
+
+
+def test_the_filter_keeps_every_row_of_the_terms(spark, mixed_counts):
+    wanted = mixed_counts.filter("term like 'own1%'").select("term")
+    got = terms.among_terms(mixed_counts, wanted)
+    assert got.columns == mixed_counts.columns and got.count() < mixed_counts.count() / 2
+    assert got.join(wanted.distinct(), "term", "left_semi").count() == mixed_counts.join(wanted.distinct(), "term", "left_semi").count()
