@@ -51,3 +51,14 @@ def test_vectors_that_are_sent_around_leave_sentences_by_article(spark, tiny):
         assert not [c for c in moved(rows) if "embedding" in c or "sent_idx" in c]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_texts_do_not_move_to_the_blocks_of_vectors(spark, tiny, large, monkeypatch):
+    rows = tb.with_vectors(spark, tiny, tb.sentences(spark, tiny))
+    assert not [c for c in moved(rows) if "_block" in c and ("tokens" in c or "sentence#" in c)]
+    assert not [c for c in moved(rows) if "embedding" in c and "tokens" in c]
+    got = rows.select("id", "sent_idx", "sentence", "tokens", F.round(F.col("embedding")[1], 6)).collect()
+    monkeypatch.setattr(tb, "BROADCAST_BYTES", 64 << 20)
+    sent = tb.with_vectors(spark, tiny, tb.sentences(spark, tiny))
+    want = sent.select("id", "sent_idx", "sentence", "tokens", F.round(F.col("embedding")[1], 6)).collect()
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(got)
