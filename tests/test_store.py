@@ -168,6 +168,24 @@ def test_daily_run(spark, stored):
         assert sizes[c] == sum(1 for r in after if r.cluster_id == c)
 
 
+def test_daily_run_writes_no_texts_and_counts_only_theme_terms(spark, stored, monkeypatch):
+    from storyloom.plans import daily
+
+    written = {}
+    for name in ("stage", "stage_by_article"):
+        def spy(df, path=None, *more, plain=getattr(daily, name)):
+            written[path.rsplit("/", 1)[-1]] = out = plain(df, path, *more)
+            return out
+        monkeypatch.setattr(daily, name, spy)
+    corpus = load_context(stored.articles, stored.chunks, stored.vectors, NOW, 14)
+    run_daily(corpus, *cluster_store(spark), NOW, PARAMS, days_back=3)
+    assert not [n for n, df in written.items() if "sentence" in df.columns]
+    counts = [n for n, df in written.items() if {"sent_idx", "term"} <= set(df.columns)]
+    assert set(counts) <= {"theme_tf"}
+    if counts:
+        assert written["theme_tf"].join(written["theme"], "term", "left_anti").isEmpty()
+
+
 def test_first_daily_run_without_clusters(spark, stored):
     empty = spark.createDataFrame([], schemas.CLUSTERS), spark.createDataFrame([], schemas.ARTICLE_CLUSTERS)
     corpus = load_context(stored.articles, stored.chunks, stored.vectors, NOW, 14)
