@@ -62,3 +62,13 @@ def test_texts_do_not_move_to_the_blocks_of_vectors(spark, tiny, large, monkeypa
     sent = tb.with_vectors(spark, tiny, tb.sentences(spark, tiny))
     want = sent.select("id", "sent_idx", "sentence", "tokens", F.round(F.col("embedding")[1], 6)).collect()
     assert sorted(got, key=repr) == sorted(want, key=repr) and len(got)
+
+
+def test_stored_vectors_stay_floats(spark, tiny, monkeypatch):
+    from storyloom.plans import queries
+
+    written, plain = [], queries.store.write_changes
+    monkeypatch.setattr(queries.store, "write_changes", lambda df, path: written.append(dict(df.dtypes)) or plain(df, path))
+    got = queries.reingested_vectors(spark, tiny)
+    assert [w["embedding"] for w in written] == ["array<float>"] * 2
+    assert dict(got.dtypes)["first_value"] == "double" and not got.isEmpty()
